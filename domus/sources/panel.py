@@ -126,17 +126,19 @@ def _sql_bool(raw: str) -> str:
     return f"CASE WHEN lower({raw}) = 'yes' THEN true WHEN lower({raw}) = 'no' THEN false END"
 
 
-def panel_sql() -> str:
-    """``WITH`` clause defining ``panel`` (29 contract columns + uid) in DuckDB SQL."""
+def panel_sql(raw: bool = False) -> str:
+    """``WITH`` clause defining ``panel`` (29 contract columns + uid) in DuckDB SQL.
+
+    With ``raw`` the five ``has_*`` columns keep their yes/no text."""
     dist = ",\n".join(
-        f"CASE WHEN (l_partkey + {j}) % 9 = 0 THEN NULL ELSE ((l_partkey + {j}) % 30) / 10.0 END AS {n}"
+        f"CASE WHEN (l_partkey + {j}) % 9 = 0 THEN NULL ELSE CAST((l_partkey + {j}) % 30 AS DOUBLE) / 10.0 END AS {n}"
         for j, n in enumerate(C.DISTANCE_COLUMNS, start=1))
     bools = []
     for j, n in enumerate(C.BOOL_FEATURES, start=1):
-        raw = _sql_yes_no(j)
+        text = _sql_yes_no(j)
         if n == "has_elevator":
-            raw = f"CASE WHEN l_orderkey % 20 = 0 THEN NULL ELSE {raw} END"
-        bools.append(f"{_sql_bool('(' + raw + ')')} AS {n}")
+            text = f"CASE WHEN l_orderkey % 20 = 0 THEN NULL ELSE {text} END"
+        bools.append(f"({text}) AS {n}" if raw else f"{_sql_bool('(' + text + ')')} AS {n}")
     bools_sql = ",\n".join(bools)
     return f"""WITH panel AS (
 SELECT
@@ -148,8 +150,8 @@ SELECT
   CASE WHEN l_suppkey % 6 = 0 THEN NULL ELSE CAST(p_size AS BIGINT) END AS floor,
   CAST(p_size AS BIGINT) AS floor_count,
   CASE WHEN l_orderkey % 6 = 0 THEN NULL ELSE CAST(year(l_shipdate) - p_size AS BIGINT) END AS build_year,
-  49.0 + (l_partkey % 600) / 100.0 AS latitude,
-  14.0 + (l_suppkey % 1000) / 100.0 AS longitude,
+  49.0 + CAST(l_partkey % 600 AS DOUBLE) / 100.0 AS latitude,
+  14.0 + CAST(l_suppkey % 1000 AS DOUBLE) / 100.0 AS longitude,
   CAST(CAST(round(l_tax * 100) AS INTEGER) AS DOUBLE) AS centre_distance_km,
   CAST(p_size AS BIGINT) AS poi_count,
   {dist},

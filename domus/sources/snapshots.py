@@ -74,10 +74,10 @@ def coerce_types(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def coercion_failures(raw: DataFrame) -> list[Column]:
+def coercion_failures(raw: DataFrame, cols: list[str] | None = None) -> list[Column]:
     """B3 counts: per column, rows whose non-null text does not cast to the contract type."""
     out = []
-    for c in raw.columns:
+    for c in cols or raw.columns:
         if c in LISTING_TYPES and c not in C.BOOL_FEATURES:
             bad = F.col(c).isNotNull() & coerce_column(c).isNull()
             out.append(F.sum(bad.cast("long")).alias(c))
