@@ -14,7 +14,8 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     p1, p2 = F.radians(lat1), F.radians(lat2)
     dlat = p2 - p1
     dlon = F.radians(lon2) - F.radians(lon1)
-    a = F.pow(F.sin(dlat / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlon / 2), 2)
+    s1, s2 = F.sin(dlat / 2), F.sin(dlon / 2)
+    a = s1 * s1 + F.cos(p1) * F.cos(p2) * (s2 * s2)
     return F.lit(C.EARTH_RADIUS_KM) * 2 * F.atan2(F.sqrt(a), F.sqrt(1 - a))
 
 
@@ -22,7 +23,8 @@ def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     p1, p2 = f"radians({lat1})", f"radians({lat2})"
     dlat = f"({p2} - {p1})"
     dlon = f"(radians({lon2}) - radians({lon1}))"
-    a = f"(pow(sin({dlat} / 2), 2) + cos({p1}) * cos({p2}) * pow(sin({dlon} / 2), 2))"
+    s1, s2 = f"sin({dlat} / 2)", f"sin({dlon} / 2)"
+    a = f"({s1} * {s1} + cos({p1}) * cos({p2}) * ({s2} * {s2}))"
     return f"({C.EARTH_RADIUS_KM!r} * 2 * atan2(sqrt({a}), sqrt(1 - {a})))"
 
 
