@@ -67,20 +67,33 @@ def q_table_read(spark: SparkSession, sf: str) -> DataFrame:
     return store.read("prices").select("uid", "price_pln")
 
 
-UPSERT_SQL = panel_sql() + """,
-b AS (SELECT p.*, 1 AS batch FROM panel p
+_NN = " AND ".join(f"{c} IS NOT NULL" for c in ("id", "city", "square_meters", "rooms", "latitude", "longitude",
+                   "centre_distance_km", "poi_count", "ownership", "has_parking", "has_balcony",
+                   "has_security", "has_storage", "price_pln", "snapshot_month"))
+UPSERT_SQL = panel_sql() + f""",
+valid AS (SELECT * FROM panel WHERE {_NN}),
+b AS (SELECT p.*, 1 AS batch FROM valid p
       UNION ALL
-      SELECT p.* REPLACE (price_pln + 1000 AS price_pln), 2 AS batch FROM panel p WHERE build_year IS NULL),
+      SELECT p.* REPLACE (price_pln + 1000 AS price_pln), 2 AS batch FROM valid p WHERE build_year IS NULL),
 r AS (SELECT *, row_number() OVER (PARTITION BY id, snapshot_month ORDER BY batch DESC, uid DESC) AS rn FROM b)
 SELECT """ + ", ".join(C.LISTING_COLUMNS) + " FROM r WHERE rn = 1"
 
 
+def valid_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """Panel rows that pass the NOT NULL rules of the table (B12 split, valid side)."""
+    from domus.operators.contract import split_valid_rejected
+    from domus.sources.listings import _NOT_NULL
+
+    valid, _ = split_valid_rejected(panel(spark, sf), _NOT_NULL)
+    return valid
+
+
 @register("panel_upsert", UPSERT_SQL)
 def q_panel_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Upsert the panel (batch order = uid) into an empty table, then upsert a second batch
     repricing the rows without build year; key (id, month), the later row wins."""
     path = scratch_path(spark, "listings")
-    p = panel(spark, sf)
+    p = valid_panel(spark, sf)
     LS.upsert(spark, path, p.select(*C.LISTING_COLUMNS, "uid"), order_col="uid")
     second = p.filter(F.col("build_year").isNull()).withColumn("price_pln", F.col("price_pln") + 1000)
     LS.upsert(spark, path, second.select(*C.LISTING_COLUMNS, "uid"), order_col="uid")
@@ -92,8 +105,8 @@ def q_panel_upsert(spark: SparkSession, sf: str) -> DataFrame:
 def q_panel_fetch_all(spark: SparkSession, sf: str) -> DataFrame:
     """A10/F2: every stored listing ordered by (id, snapshot_month)."""
     path = scratch_path(spark, "listings")
-    LS.upsert(spark, path, panel(spark, sf).select(*C.LISTING_COLUMNS, "uid"), order_col="uid")
-    p = panel(spark, sf)
+    p = valid_panel(spark, sf)
+    LS.upsert(spark, path, p.select(*C.LISTING_COLUMNS, "uid"), order_col="uid")
     second = p.filter(F.col("build_year").isNull()).withColumn("price_pln", F.col("price_pln") + 1000)
     LS.upsert(spark, path, second.select(*C.LISTING_COLUMNS, "uid"), order_col="uid")
     return LS.fetch_all(spark, path).select("id", "snapshot_month", "price_pln")
@@ -103,7 +116,7 @@ def q_panel_fetch_all(spark: SparkSession, sf: str) -> DataFrame:
 def q_panel_table_schema(spark: SparkSession, sf: str) -> DataFrame:
     """The typed panel table (NOT NULL flags, month partitions, city-sorted files)."""
     path = scratch_path(spark, "listings")
-    LS.upsert(spark, path, panel(spark, sf).select(*C.LISTING_COLUMNS, "uid"), order_col="uid")
+    LS.upsert(spark, path, valid_panel(spark, sf).select(*C.LISTING_COLUMNS, "uid"), order_col="uid")
     rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in LS.LISTINGS_SCHEMA.fields]
     return spark.createDataFrame(rows, "column string, type string, nullable boolean")
 
@@ -119,8 +132,8 @@ def q_prediction_log(spark: SparkSession, sf: str) -> DataFrame:
     split, model = linear_setup(spark, sf)
     cal = model.predict(split.filter(F.col("part") == "cal"), keep=(C.TARGET,))
     model.q = conformal.calibrate(cal, C.TARGET, "prediction")
-    reqs = split.select("uid", *C.REQUEST_COLUMNS)
-    scored = batch_score(model, reqs, "price-linear", "1", keep=("uid", *C.REQUEST_COLUMNS))
+    reqs = split.select("uid", *C.REQUEST_COLUMNS).withColumn("request", LS.request_json())
+    scored = batch_score(model, reqs, "price-linear", "1", keep=("uid", "request"))
     path = scratch_path(spark, "prediction_log")
     LS.append_predictions(scored, path)
     return spark.read.parquet(path)
