@@ -36,5 +36,6 @@ def load_all() -> None:
         q_monitoring,
         q_registry,
         q_sources,
+        q_streaming,
         q_training,
     )
