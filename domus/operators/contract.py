@@ -125,9 +125,17 @@ def reasons_expr(rules: list[RuleSpec]) -> Column:
     return F.array_compact(F.array(*[F.when(bad_expr(r), F.lit(r.name)) for r in rules]))
 
 
+def tag_rejects(df: DataFrame, rules: list[RuleSpec]) -> DataFrame:
+    """B12 in one pass: every row with its ``reject_reason`` array (empty = valid)."""
+    return df.withColumn("reject_reason", reasons_expr(rules))
+
+
 def split_valid_rejected(df: DataFrame, rules: list[RuleSpec]) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with ``reject_reason`` array). Narrow; no shuffle."""
-    tagged = df.withColumn("reject_reason", reasons_expr(rules))
+    """(valid rows, rejected rows with ``reject_reason`` array). Narrow; no shuffle.
+
+    Both outputs derive from one tagged frame; persist or checkpoint the input when both are
+    consumed by separate actions."""
+    tagged = tag_rejects(df, rules)
     valid = tagged.filter(F.size("reject_reason") == 0).drop("reject_reason")
     rejected = tagged.filter(F.size("reject_reason") > 0)
     return valid, rejected

@@ -63,10 +63,24 @@ def _lex_greater(order_cols: list[str], values: list) -> Column:
     return expr
 
 
-def _bucket_offsets(df: DataFrame, weight: Column | None = None) -> list[tuple[int, int, int]]:
-    """Sorted (bucket, offset, total) — one row per non-empty bucket (bounded, collected)."""
+def _bucket_offsets(df: DataFrame, weight: Column | None = None,
+                    unique_key: str | None = None) -> list[tuple[int, int, int]]:
+    """Sorted (bucket, offset, total) — one row per non-empty bucket (bounded, collected).
+
+    With ``unique_key`` (a key that determines the bucket) the same job also verifies the
+    key is unique and non-null, so no separate counting pass is needed.
+    """
     w = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    rows = df.groupBy(_BUCKET_COL).agg(w.alias("_t")).collect()
+    aggs = [w.alias("_t")]
+    if unique_key is not None:
+        aggs += [F.count_distinct(unique_key).alias("_d"), F.count(unique_key).alias("_nn")]
+    rows = df.groupBy(_BUCKET_COL).agg(*aggs).collect()
+    if unique_key is not None:
+        dup = sum(int(r["_t"]) - int(r["_d"]) for r in rows)
+        nulls = sum(int(r["_t"]) - int(r["_nn"]) for r in rows)
+        if dup or nulls:
+            raise ValueError(f"order key {unique_key!r} is not unique and non-null "
+                             f"({dup} repeated, {nulls} null)")
     out, acc = [], 0
     for r in sorted(rows, key=lambda r: r[_BUCKET_COL]):
         out.append((int(r[_BUCKET_COL]), acc, int(r["_t"])))
@@ -89,15 +103,20 @@ def with_buckets(df: DataFrame, order_cols: list[str], bucket: Column | None,
     return range_buckets(df, order_cols, n)
 
 
-def cut_keys(df: DataFrame, order_cols: list[str], cuts: list[int],
-             bucket: Column | None = None, n: int | None = None) -> dict[int, list]:
-    """Order-key values of the rows at the given 1-based ranks (only cut buckets are sorted)."""
+def cut_keys(df: DataFrame, order_cols: list[str], cuts, bucket: Column | None = None,
+             n: int | None = None, unique_key: str | None = None) -> tuple[dict[int, list], list[int], int]:
+    """Order-key values of the rows at the given 1-based ranks (only cut buckets are sorted).
+
+    ``cuts`` is a list of ranks or a function of the row count returning one. Returns
+    (keys by rank, the cut ranks, row count).
+    """
     b = with_buckets(df, order_cols, bucket, n)
-    offsets = _bucket_offsets(b)
+    offsets = _bucket_offsets(b, unique_key=unique_key)
     total = offsets[-1][1] + offsets[-1][2] if offsets else 0
+    cuts = list(cuts(total)) if callable(cuts) else list(cuts)
     wanted = {c: _locate(offsets, c) for c in cuts if 0 < c <= total}
     if not wanted:
-        return {}
+        return {}, cuts, total
     buckets = sorted({bk for bk, _ in wanted.values()})
     w = Window.partitionBy(_BUCKET_COL).orderBy(*order_cols)
     local = (b.filter(F.col(_BUCKET_COL).isin(buckets))
@@ -108,19 +127,20 @@ def cut_keys(df: DataFrame, order_cols: list[str], cuts: list[int],
         cond = c if cond is None else (cond | c)
     got = {(int(r[_BUCKET_COL]), int(r["_rn"])): [r[c] for c in order_cols]
            for r in local.filter(cond).select(_BUCKET_COL, "_rn", *order_cols).collect()}
-    return {c: got[pos] for c, pos in wanted.items()}
+    return {c: got[pos] for c, pos in wanted.items()}, cuts, total
 
 
-def segment_by_rank(df: DataFrame, order_cols: list[str], cuts: list[int],
-                    segment_col: str = "segment", bucket: Column | None = None,
-                    n: int | None = None) -> DataFrame:
+def segment_by_rank(df: DataFrame, order_cols: list[str], cuts, segment_col: str = "segment",
+                    bucket: Column | None = None, n: int | None = None,
+                    unique_key: str | None = None) -> DataFrame:
     """Label rows 0..len(cuts) by rank: segment s holds ranks in (cuts[s-1], cuts[s]].
 
     Exact and partition-independent; order keys must be unique and non-null. Only the
     buckets containing a cut are sorted; every other row is labelled by comparing its key
-    with the (at most ``len(cuts)``) cut keys.
+    with the (at most ``len(cuts)``) cut keys. ``cuts`` may be a function of the row count,
+    which then comes from the same job that counts the buckets.
     """
-    keys = cut_keys(df, order_cols, cuts, bucket, n)
+    keys, cuts, _ = cut_keys(df, order_cols, cuts, bucket, n, unique_key)
     seg = F.lit(0)
     for c in cuts:
         if c <= 0:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from domus import constants as C
 from domus.errors import TrainingError
-from domus.operators.rank import hash_bucket, hash_order, hex_digits_for, segment_by_rank
+from domus.operators.rank import hash_bucket, hash_order, segment_by_rank
 
 _H = "_split_hash"
 
@@ -40,11 +40,17 @@ def split_sizes(n: int, test_size: float, calibration_size: float) -> tuple[int,
     return n_train, n_cal, n_test
 
 
-def hash_segments(df: DataFrame, key: str, seed: int, cuts: list[int], n: int,
-                  col: str) -> DataFrame:
-    digits = hex_digits_for(n)
+# 16^4 hash buckets: a bucket table of <= 65,536 rows, and ~15M rows per bucket at 10^12 rows
+_DIGITS = 4
+
+
+def hash_segments(df: DataFrame, key: str, seed: int, cuts, col: str,
+                  check_unique: bool = True) -> DataFrame:
+    """Segments of the seeded hash order; row count (and key uniqueness) come from the same
+    job that counts the hash buckets."""
     with_h = df.withColumn(_H, hash_order(seed, key))
-    out = segment_by_rank(with_h, [_H, key], cuts, col, bucket=hash_bucket(_H, digits), n=n)
+    out = segment_by_rank(with_h, [_H, key], cuts, col, bucket=hash_bucket(_H, _DIGITS),
+                          unique_key=key if check_unique else None)
     return out.drop(_H)
 
 
@@ -56,9 +62,11 @@ def exact_split(df: DataFrame, key: str = "uid", test_size: float = C.TEST_SIZE,
     In seeded hash order the first ``round(n*test)`` rows are test, the next
     ``round(n*cal)`` calibration, the rest train.
     """
-    n = count_and_check_unique(df, key, check_unique)
-    _, n_cal, n_test = split_sizes(n, test_size, calibration_size)
-    seg = hash_segments(df, key, seed, [n_test, n_test + n_cal], n, "_seg")
+    def cuts(n: int) -> list[int]:
+        _, n_cal, n_test = split_sizes(n, test_size, calibration_size)
+        return [n_test, n_test + n_cal]
+
+    seg = _checked(lambda: hash_segments(df, key, seed, cuts, "_seg", check_unique))
     label = F.when(F.col("_seg") == 0, "test").when(F.col("_seg") == 1, "cal").otherwise("train")
     return seg.withColumn(part_col, label).drop("_seg")
 
@@ -88,13 +96,21 @@ def kfold_sizes(n: int, k: int) -> list[int]:
 def kfold_assign(df: DataFrame, key: str = "uid", k: int = 5, seed: int = C.SEED,
                  fold_col: str = "fold", check_unique: bool = True) -> DataFrame:
     """K9: fold 0..k-1, contiguous runs of the seeded hash order with k-fold sizes."""
-    n = count_and_check_unique(df, key, check_unique)
-    sizes = kfold_sizes(n, k)
-    cuts, acc = [], 0
-    for s in sizes[:-1]:
-        acc += s
-        cuts.append(acc)
-    return hash_segments(df, key, seed, cuts, n, fold_col)
+    def cuts(n: int) -> list[int]:
+        out, acc = [], 0
+        for s in kfold_sizes(n, k)[:-1]:
+            acc += s
+            out.append(acc)
+        return out
+
+    return _checked(lambda: hash_segments(df, key, seed, cuts, fold_col, check_unique))
+
+
+def _checked(fn):
+    try:
+        return fn()
+    except ValueError as exc:  # non-unique key reported by the bucket job
+        raise TrainingError(str(exc)) from exc
 
 
 def half_split(df: DataFrame, order_cols: list[str], side_col: str = "side",

@@ -150,10 +150,9 @@ def q_validate_report(spark: SparkSession, sf: str) -> DataFrame:
 @register("split_valid_rejected", panel_sql() + f"""
 SELECT uid, {K.reasons_sql(_rules())} AS reject_reason FROM panel""")
 def q_split_valid_rejected(spark: SparkSession, sf: str) -> DataFrame:
-    """Every row with its violated rules ('' for valid rows)."""
-    valid, rejected = K.split_valid_rejected(panel(spark, sf), _rules())
-    return (rejected.select("uid", F.array_join("reject_reason", ",").alias("reject_reason"))
-            .unionByName(valid.select("uid", F.lit("").alias("reject_reason"))))
+    """Every row with its violated rules ('' for valid rows), one pass."""
+    tagged = K.tag_rejects(panel(spark, sf), _rules())
+    return tagged.select("uid", F.array_join("reject_reason", ",").alias("reject_reason"))
 
 
 # --- B10 ------------------------------------------------------------------

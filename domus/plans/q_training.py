@@ -16,6 +16,7 @@ from domus.operators.split import exact_split, group_split, kfold_assign
 from domus.plans import sqlparts as S
 from domus.plans.catalog import register
 from domus.plans.training import FittedModel, batch_score, cv_fold_scores, fit, train_flow, tune
+from domus.session import materialize
 from domus.sources.panel import panel, panel_sql
 
 AS_OF = dt.datetime(2026, 1, 1, 12, 0, 0)  # injected scoring time (H18), fixed for checks
@@ -30,7 +31,7 @@ def _rm(df: DataFrame) -> DataFrame:
 
 def linear_setup(spark: SparkSession, sf: str) -> tuple[DataFrame, FittedModel]:
     """Panel with exact split + closed-form linear model fit on train (medians from train)."""
-    split = exact_split(panel(spark, sf))
+    split = exact_split(materialize(panel(spark, sf)))
     model = fit(split.filter(F.col("part") == "train"), "simple_linear")
     return split, model
 

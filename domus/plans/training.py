@@ -31,6 +31,7 @@ from domus.operators.features import ListingImputer, ListingImputerModel, featur
 from domus.operators.metrics import evaluate
 from domus.operators.model import build_estimator, fit_simple_linear, predict_simple_linear
 from domus.operators.split import exact_split, kfold_assign
+from domus.session import materialize
 
 
 @dataclass
@@ -92,9 +93,12 @@ def train_flow(listings: DataFrame, *, estimator: str = "simple_linear", params:
                alpha: float = C.CONFORMAL_ALPHA, test_size: float = C.TEST_SIZE,
                calibration_size: float = C.CALIBRATION_SIZE, seed: int = C.SEED,
                key: str = "uid", contract=None, registry=None, model_name: str = "price",
-               primary_metric: str = "mae") -> TrainingRun:
+               primary_metric: str = "mae", materialize_input: bool = True) -> TrainingRun:
     """Validate -> split -> fit -> calibrate -> evaluate -> register -> advise."""
     conformal.check_alpha(alpha)
+    if materialize_input:
+        # one computation of the (possibly joined) input, read back by every later job
+        listings = materialize(listings)
     if contract is not None:
         contract.validate(listings, raise_on_error=True)
     split = exact_split(listings, key, test_size, calibration_size, seed).cache()
