@@ -229,3 +229,55 @@ def q_month_to_date(spark: SparkSession, sf: str) -> DataFrame:
     """YYYY-MM month text to the first day of the month."""
     p = panel(spark, sf).select("snapshot_month").distinct()
     return p.select("snapshot_month", X.month_to_date(F.col("snapshot_month")).alias("month_start"))
+
+
+# --- A1 / A2 / A3 -------------------------------------------------------------------
+def _snapshot_dir(spark: SparkSession, sf: str) -> str:
+    """The raw panel written as monthly sale CSVs plus a rent file and a look-alike to skip."""
+    from domus.sources.snapshots import write_snapshot_files
+
+    root = scratch_path(spark, "raw")
+    raw = raw_panel(spark, sf)
+    files = write_snapshot_files(raw.drop("uid"), "_month", root)
+    one = spark.read.option("header", True).csv(files[0])
+    one.limit(1).write.option("header", True).csv(f"{root}/rent_tmp")
+    jvm = spark._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    part = fs.globStatus(Path(f"{root}/rent_tmp/part-*.csv"))[0].getPath()
+    fs.rename(part, Path(f"{root}/apartments_rent_pl_2024_06.csv"))
+    part2 = files[0].rsplit("/", 1)[0] + "/" + files[0].rsplit("/", 1)[1].replace(".csv", "_extra.csv")
+    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, Path(f"{root}/apartments_rent_pl_2024_06.csv"), fs,
+                                          Path(part2), False, spark._jsc.hadoopConfiguration())
+    return root
+
+
+@register("load_snapshots", panel_sql() + "\nSELECT " + ", ".join(C.LISTING_COLUMNS) + " FROM panel")
+def q_load_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Every monthly sale CSV read back into the 29-column frame (rent and look-alike
+    files skipped, month from the file name, yes/no parsed, types coerced)."""
+    from domus.sources.snapshots import load_snapshots
+
+    return load_snapshots(spark, _snapshot_dir(spark, sf))
+
+
+@register("snapshot_file_filter", panel_sql() + """
+SELECT DISTINCT 'apartments_pl_' || replace(snapshot_month, '-', '_') || '.csv' AS file_name FROM panel""")
+def q_snapshot_file_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """A2: the files the sale-snapshot filter accepts in a directory that also holds a rent
+    file and a look-alike."""
+    root = _snapshot_dir(spark, sf)
+    files = (spark.read.option("header", True).option("pathGlobFilter", C.SALE_FILE_GLOB)
+             .option("recursiveFileLookup", True).csv(root).inputFiles())
+    names = sorted({f.rsplit("/", 1)[-1] for f in files})
+    return spark.createDataFrame([(n,) for n in names], "file_name string")
+
+
+@register("stamp_month", panel_sql() + """
+SELECT snapshot_month, CAST(count(*) AS BIGINT) AS n FROM panel GROUP BY snapshot_month""")
+def q_stamp_month(spark: SparkSession, sf: str) -> DataFrame:
+    """A3: rows per month stamped from the file names after loading."""
+    from domus.sources.snapshots import load_snapshots
+
+    df = load_snapshots(spark, _snapshot_dir(spark, sf))
+    return df.groupBy("snapshot_month").agg(F.count(F.lit(1)).cast("long").alias("n"))

@@ -123,26 +123,37 @@ def _read_group(spark: SparkSession, files: list[str], header: list[str]) -> Dat
     )
 
 
+def read_headers(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, ...]]:
+    """Header line of every file in one job: only each file's first split is kept, and the
+    first line of that split (lowest row id) is the header."""
+    import csv
+
+    lines = (spark.read.text(files).where(F.col("_metadata.file_block_start") == 0)
+             .select(F.col("_metadata.file_path").alias("f"), "value",
+                     F.monotonically_increasing_id().alias("_i")))
+    rows = lines.groupBy("f").agg(F.min_by("value", "_i").alias("h")).collect()
+    return {r["f"]: tuple(next(csv.reader([r["h"]]))) for r in rows}
+
+
 def load_snapshots(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Every ``apartments_pl_YYYY_MM.csv`` in ``raw_dir`` as one frame of 29 columns.
+    """Every ``apartments_pl_YYYY_MM.csv`` under ``raw_dir`` (searched recursively,
+    so a month may be sharded over several directories) as one frame of 29 columns.
 
-    Rent files and other look-alikes are skipped by the glob filter. Files are grouped
-    by header order (columns bind by position in CSV), each group is one multi-file
-    scan, and the groups are stacked with ``unionByName``. Raises ``DataError`` when no
-    file matches or a header lacks a column.
+    Rent files and other look-alikes are skipped by the file-name filter. Files are grouped
+    by header order (columns bind by position in CSV), each group is one multi-file scan,
+    and the groups are stacked with ``unionByName``. Raises ``DataError`` when no file
+    matches or a header lacks a column.
     """
     probe = (spark.read.option("header", True).option("pathGlobFilter", C.SALE_FILE_GLOB)
-             .option("inferSchema", False))
+             .option("recursiveFileLookup", True).option("inferSchema", False))
     try:
         files = sorted(probe.csv(raw_dir).inputFiles())
     except Exception as exc:  # missing directory
         raise DataError(f"no sale snapshot files found in {raw_dir}") from exc
     if not files:
         raise DataError(f"no sale snapshot files found in {raw_dir}")
-    # One header line per file (a metadata-sized read; monthly files are few).
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        header = tuple(spark.read.option("header", True).csv(f).columns)
+    for f, header in sorted(read_headers(spark, files).items()):
         check_header(list(header))
         groups.setdefault(header, []).append(f)
     frames = [_read_group(spark, fs, list(h)) for h, fs in groups.items()]
@@ -150,3 +161,36 @@ def load_snapshots(spark: SparkSession, raw_dir: str) -> DataFrame:
     for other in frames[1:]:
         raw = raw.unionByName(other)
     return normalise(raw, month_from_file_name(F.col("_file_name")))
+
+
+def write_snapshot_files(raw: DataFrame, month_col: str, root: str,
+                         max_records: int = 1_000_000) -> list[str]:
+    """Sink: the raw rows as ``<root>/shard-NNNNN/apartments_pl_YYYY_MM.csv`` files (header
+    included, at most ``max_records`` rows per file).
+
+    Rows are written where they are (no repartition by month, so a month holding a third of
+    the data is still written by many tasks); each month's part files are then renamed to
+    the canonical snapshot name, one shard directory per file, with the cluster file system
+    API (metadata operations). Returns the written paths.
+    """
+    spark = raw.sparkSession
+    root = root.rstrip("/")
+    staging = f"{root}/_staging"
+    (raw.write.option("header", True).option("nullValue", "").option("maxRecordsPerFile", max_records)
+     .partitionBy(month_col).csv(staging))
+    jvm = spark._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    per_month: dict[str, int] = {}
+    out = []
+    for st in sorted(fs.globStatus(Path(f"{staging}/{month_col}=*/part-*.csv")),
+                     key=lambda s: s.getPath().toString()):
+        month = st.getPath().getParent().getName().split("=", 1)[1]
+        k = per_month.get(month, 0)
+        per_month[month] = k + 1
+        target = f"{root}/shard-{k:05d}/apartments_pl_{month.replace('-', '_')}.csv"
+        fs.mkdirs(Path(f"{root}/shard-{k:05d}"))
+        fs.rename(st.getPath(), Path(target))
+        out.append(target)
+    fs.delete(Path(staging), True)
+    return sorted(out)
