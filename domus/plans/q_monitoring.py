@@ -12,7 +12,10 @@ from domus.operators import monitoring as M
 from domus.plans.catalog import register
 from domus.sources.panel import table
 
-OUTCOME = F.when(F.col("event_type") == "error", F.lit("error")).otherwise(F.lit("ok"))
+def outcome_col():
+    return F.when(F.col("event_type") == "error", F.lit("error")).otherwise(F.lit("ok"))
+
+
 OUTCOME_SQL = "CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END"
 
 
@@ -25,7 +28,7 @@ FROM d CROSS JOIN o LEFT JOIN c ON c.day = d.day AND c.outcome = o.outcome""")
 def q_outcome_counts(spark: SparkSession, sf: str) -> DataFrame:
     """ok/error counts per day, both series always present."""
     ev = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
-    out = M.outcome_counts(ev, OUTCOME, by=["day"])
+    out = M.outcome_counts(ev, outcome_col(), by=["day"])
     return out.select("day", "outcome", F.col("n").cast("long"))
 
 
