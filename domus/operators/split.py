@@ -18,18 +18,6 @@ from domus.operators.rank import hash_bucket, hash_order, segment_by_rank
 _H = "_split_hash"
 
 
-def count_and_check_unique(df: DataFrame, key: str, check_unique: bool = True) -> int:
-    """Row count; with ``check_unique`` also fails loudly when ``key`` repeats (one job)."""
-    if not check_unique:
-        return df.count()
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("d"),
-                 F.count(key).alias("nn")).collect()[0]
-    if row["d"] != row["n"] or row["nn"] != row["n"]:
-        raise TrainingError(f"split key {key!r} is not unique and non-null "
-                            f"({row['d']} distinct of {row['n']})")
-    return int(row["n"])
-
-
 def split_sizes(n: int, test_size: float, calibration_size: float) -> tuple[int, int, int]:
     """(n_train, n_cal, n_test) with half-even rounding; any empty part -> error."""
     n_test = round(n * test_size)
@@ -120,7 +108,7 @@ def half_split(df: DataFrame, order_cols: list[str], side_col: str = "side",
     The order columns must form a unique key; buckets come from range partitioning on the
     whole key (checkpointed), so a repeated leading value does not make one hot bucket.
     """
-    n = df.count() if n is None else n
-    seg = segment_by_rank(df, order_cols, [n // 2], "_seg", n=n)
+    # the row count comes from the same job that counts the range buckets
+    seg = segment_by_rank(df, order_cols, lambda total: [total // 2], "_seg", n=n)
     return (seg.withColumn(side_col, F.when(F.col("_seg") == 0, "reference").otherwise("current"))
             .drop("_seg"))
