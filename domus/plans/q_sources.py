@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from domus import constants as C
 from domus.functions import numeric as N
 from domus.functions import text as X
+from domus.plans import q_training  # noqa: F401  (registers batch_score first)
 from domus.plans.catalog import register
 from domus.sources import listings as LS
 from domus.sources import store as ST
@@ -121,22 +122,32 @@ def q_panel_table_schema(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "column string, type string, nullable boolean")
 
 
-@register("prediction_log")
+def _log_sql() -> str:
+    from domus.plans.catalog import ORACLE
+
+    return ("WITH b AS (" + ORACLE["batch_score"] + """)
+SELECT uid, CAST(predicted_price AS DECIMAL(12,2)) AS predicted_price,
+       CAST(interval_low AS DECIMAL(12,2)) AS interval_low, CAST(interval_high AS DECIMAL(12,2)) AS interval_high,
+       model_name, model_version, predicted_at, CAST(predicted_at AS DATE) AS predicted_date FROM b""")
+
+
+@register("prediction_log", _log_sql())
 def q_prediction_log(spark: SparkSession, sf: str) -> DataFrame:
     """Scored requests appended to the prediction log (request JSON, decimal prices,
-    partitioned by prediction date) and read back."""
+    partitioned by prediction date) and read back; the JSON column is checked in pytest."""
     from domus.operators import conformal
-    from domus.plans.q_training import linear_setup
+    from domus.plans.q_training import AS_OF, linear_setup
     from domus.plans.training import batch_score
 
     split, model = linear_setup(spark, sf)
     cal = model.predict(split.filter(F.col("part") == "cal"), keep=(C.TARGET,))
     model.q = conformal.calibrate(cal, C.TARGET, "prediction")
     reqs = split.select("uid", *C.REQUEST_COLUMNS).withColumn("request", LS.request_json())
-    scored = batch_score(model, reqs, "price-linear", "1", keep=("uid", "request"))
+    scored = batch_score(model, reqs, "price-linear", "1", keep=("uid", "request"),
+                         predicted_at=F.lit(AS_OF).cast("timestamp"))
     path = scratch_path(spark, "prediction_log")
     LS.append_predictions(scored, path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("request")
 
 
 # --- scalar helpers ------------------------------------------------------------------
