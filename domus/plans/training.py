@@ -216,20 +216,34 @@ def tune(train: DataFrame, n_trials: int = 5, timeout_seconds: float = 1800.0,
          max_trees: int | None = None) -> tuple[dict[str, Any], DataFrame]:
     """Minimise cross-validated MAE. Returns (best params, per-trial scores frame).
 
-    Folds are exact seeded k-folds over ``key``; features are imputed/encoded once per fold
-    inside the Spark ML pipeline. Same seed -> same proposals -> same result. Stops after
+    Folds are exact seeded k-folds over ``key``. The imputer and encoders are fitted once per
+    fold (on that fold's training rows) and the assembled vectors are cached, so each trial
+    only refits the learner. Same seed -> same proposals -> same result. Stops after
     ``n_trials`` or when ``timeout_seconds`` is spent (at least one trial runs).
     ``max_trees`` optionally caps proposed tree counts (for quick runs).
     """
+    from pyspark.ml import Pipeline
+
+    from domus.operators.features import one_hot_stages
+
     n = train.count()
     if n == 0:
         raise TrainingError("search needs non-empty data")
-    folds = kfold_assign(train, key, min(cv_folds, n), seed).cache()
+    k = min(cv_folds, n)
+    # the fold-labelled input is read by every fold fit: compute it once
+    folds = materialize(kfold_assign(train, key, k, seed)
+                        .withColumn("label", F.col(C.TARGET).cast("double")))
+    prepared = []
     rng = random.Random(seed)
     start = time.monotonic()
     results = []
     try:
-        k = min(cv_folds, n)
+        for f in range(k):
+            tr, va = folds.filter(F.col("fold") != f), folds.filter(F.col("fold") == f)
+            feats = Pipeline(stages=[ListingImputer(keepCols=["label"]), *one_hot_stages()]).fit(tr)
+            vtr = feats.transform(tr).select("features", "label").cache()
+            vva = feats.transform(va).select("features", "label").cache()
+            prepared.append((vtr, vva))
         for trial in range(n_trials):
             if trial > 0 and time.monotonic() - start > timeout_seconds:
                 break
@@ -237,14 +251,16 @@ def tune(train: DataFrame, n_trials: int = 5, timeout_seconds: float = 1800.0,
             if max_trees is not None:
                 params["n_estimators"] = min(params["n_estimators"], max_trees)
             maes = []
-            for f in range(k):
-                m = fit(folds.filter(F.col("fold") != f), estimator, params)
-                scored = m.predict(folds.filter(F.col("fold") == f), keep=(C.TARGET,))
-                maes.append(evaluate(scored, C.TARGET, "prediction")["mae"])
+            for vtr, vva in prepared:
+                learner = build_estimator(estimator, params, label_col="label").fit(vtr)
+                scored = learner.transform(vva)
+                maes.append(evaluate(scored, "label", "prediction")["mae"])
             results.append((trial, params["n_estimators"], params["max_depth"],
                             float(params["learning_rate"]), float(sum(maes) / len(maes))))
     finally:
-        folds.unpersist()
+        for vtr, vva in prepared:
+            vtr.unpersist()
+            vva.unpersist()
     best = min(results, key=lambda r: (r[4], r[0]))
     spark = train.sparkSession
     frame = spark.createDataFrame(

@@ -149,3 +149,25 @@ def test_train_flow_quality(spark):
     assert gbt.metrics["r2"] > 0.5
     with pytest.raises(TrainingError):
         fit(panel(spark, SF), "unknown")
+
+
+def test_tune_is_deterministic(spark):
+    from domus.plans.training import tune
+
+    train = exact_split(panel(spark, SF)).filter(F.col("part") == "train")
+    best1, t1 = tune(train, n_trials=2, cv_folds=2, max_trees=5)
+    best2, t2 = tune(train, n_trials=2, cv_folds=2, max_trees=5)
+    assert best1 == best2 and t1.count() == 2
+    assert t1.collect() == t2.collect()
+
+
+def test_request_json_round_trip(spark):
+    from domus.sources.listings import request_json
+    from domus.streaming.scoring import request_schema
+
+    p = panel(spark, SF).limit(5)
+    js = p.select("uid", *C.REQUEST_COLUMNS).withColumn("request", request_json())
+    schema = request_schema()
+    back = js.select("uid", F.from_json("request", schema).alias("r")).select("uid", "r.*")
+    orig = p.select("uid", *C.REQUEST_COLUMNS)
+    assert back.drop("request_id").subtract(orig).count() == 0
