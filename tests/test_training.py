@@ -171,3 +171,20 @@ def test_request_json_round_trip(spark):
     back = js.select("uid", F.from_json("request", schema).alias("r")).select("uid", "r.*")
     orig = p.select("uid", *C.REQUEST_COLUMNS)
     assert back.drop("request_id").subtract(orig).count() == 0
+
+
+def test_one_hot_unseen_category_is_all_zeros(spark):
+    from pyspark.ml import Pipeline
+
+    from domus.operators.features import one_hot_stages
+
+    base = {c: "x" for c in C.CATEGORICAL_FEATURES}
+    num = {c: 1.0 for c in C.NUMERIC_FEATURES}
+    boo = {c: 0 for c in C.BOOL_FEATURES}
+    rows = [{**base, **num, **boo, "city": c} for c in ("a", "b", "c")]
+    train = spark.createDataFrame(rows)
+    model = Pipeline(stages=one_hot_stages()).fit(train)
+    test = spark.createDataFrame([{**base, **num, **boo, "city": "zzz"}, {**base, **num, **boo, "city": "b"}])
+    out = {r["city"]: r["city__ohe"].toArray().tolist() for r in model.transform(test).collect()}
+    assert out["zzz"] == [0.0, 0.0, 0.0]
+    assert out["b"] == [0.0, 1.0, 0.0]
