@@ -33,6 +33,8 @@ def local_session(cpus: int | str | None = None, shuffle_partitions: int | None
         .config("spark.driver.memory", os.environ.get("DOMUS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+        # checkpoint files are removed once their DataFrame is garbage-collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
