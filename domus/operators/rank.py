@@ -33,12 +33,6 @@ def hash_order(seed: int, *key_cols: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols]))
 
 
-def hex_digits_for(n: int, rows_per_bucket: int = _ROWS_PER_BUCKET) -> int:
-    """Leading hex digits so that a uniform hash bucket holds about ``rows_per_bucket`` rows."""
-    need = max(1, math.ceil(n / rows_per_bucket))
-    return min(7, max(1, math.ceil(math.log(need, 16)) if need > 1 else 1))
-
-
 def hash_bucket(hash_col: str, digits: int) -> Column:
     """Bucket id from the first ``digits`` hex characters (monotone in the hash order)."""
     return F.conv(F.substring(F.col(hash_col), 1, digits), 16, 10).cast("long")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from domus import constants as C
 from domus.errors import TrainingError
 from domus.operators import conformal
-from domus.operators.features import ListingImputer, ListingImputerModel, feature_pipeline, impute
+from domus.operators.features import ListingImputer, feature_pipeline, impute
 from domus.operators.metrics import evaluate
 from domus.operators.model import build_estimator, fit_simple_linear, predict_simple_linear
 from domus.operators.split import exact_split, kfold_assign
@@ -76,10 +76,6 @@ def fit(train: DataFrame, estimator: str = "simple_linear", params: dict | None
     return FittedModel(estimator, medians, pipeline=model)
 
 
-def score_rows(model: FittedModel, df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    return model.predict(df, keep)
-
-
 @dataclass
 class TrainingRun:
     model: FittedModel
@@ -266,7 +262,3 @@ def tune(train: DataFrame, n_trials: int = 5, timeout_seconds: float = 1800.0,
     frame = spark.createDataFrame(
         results, "trial long, n_estimators long, max_depth long, learning_rate double, cv_mae double")
     return {"n_estimators": best[1], "max_depth": best[2], "learning_rate": best[3]}, frame
-
-
-def load_imputer(path: str) -> ListingImputerModel:
-    return ListingImputerModel.load(path)
