@@ -7,7 +7,8 @@ from domus.llm.op3_secrets import op3_secrets
 from domus.llm.op4_toxicity import op4_toxicity
 from domus.llm.op6_html import op6_html
 from domus.llm.op7_chat import OP7_SQL, op7_chat
+from domus.llm.op9_decontamination import OP9_SQL, op9_decontamination
 from domus.llm.op10_warc import OP10_SQL, op10_warc
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_secrets, op4_toxicity, op6_html, op7_chat, op10_warc)}
-ORACLE = {"op7_chat": OP7_SQL, "op10_warc": OP10_SQL}
+QUERIES = {f.__name__: f for f in (op1_mixing, op3_secrets, op4_toxicity, op6_html, op7_chat, op9_decontamination, op10_warc)}
+ORACLE = {"op7_chat": OP7_SQL, "op9_decontamination": OP9_SQL, "op10_warc": OP10_SQL}
