@@ -44,10 +44,28 @@ EDGE = ".,!?;:|\"'()&%*-"
 THRESHOLDS = (1, 2, 3, 4)
 
 
-def windows(text: str, k: int = WINDOW) -> list[bytes]:
-    """Lower-cased runs of ``k`` words, one after another."""
+def cut(text: str, k: int = WINDOW) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The lower-cased words of a text joined by blanks, and where its windows of ``k`` words begin and end."""
     found = text.lower().encode().split()
-    return [b" " + b" ".join(found[i:i + k]) + b" " for i in range(0, len(found), k)]
+    joined = b" " + b" ".join(found) + b" "
+    after = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)  # the blank behind each word
+    starts = np.concatenate([[0], after])[:len(found):k]
+    return joined, starts, np.append(starts[1:], after[-1:]) + 1
+
+
+def windows(text: str, k: int = WINDOW) -> list[bytes]:
+    joined, starts, ends = cut(text, k)
+    return [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def _grams(data: bytes) -> np.ndarray:
+    """A 22-bit hash of the ``MIN_MATCH`` bytes at each place."""
+    x = np.frombuffer(data, np.uint8).astype(np.uint64)
+    n = len(x) - MIN_MATCH + 1
+    out = np.zeros(max(n, 0), np.uint64)
+    for j in range(MIN_MATCH):
+        out = (out << np.uint64(8)) | x[j:n + j]
+    return (out * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)
 
 
 def _codec(body: bytes) -> zstandard.ZstdCompressor:
@@ -68,14 +86,22 @@ class Dictionaries:
     def open(self) -> Dictionaries:
         self.plain = _codec(self.ordinary)
         self.both = _codec(self.ordinary + self.toxic)
+        self.known = np.zeros(1 << 22, bool)
+        self.known[_grams(self.toxic)] = True
         return self
 
     def figures(self, text: str | None) -> list[float]:
-        """What the differences of the windows' compressed lengths say about a document."""
-        found = windows(text or "")
-        if not found or not self.toxic:
+        """What the differences of the windows' compressed lengths say about a document. A window that shares no
+        ``MIN_MATCH`` bytes with the toxic body can't be matched there: its difference is 0 without compressing."""
+        joined, starts, ends = cut(text or "")
+        if not len(starts) or not self.toxic:
             return [0.0] * (len(THRESHOLDS) + 3)
-        d = np.array([len(self.plain.compress(w)) - len(self.both.compress(w)) for w in found], float)
+        at = np.flatnonzero(self.known[_grams(joined)])
+        window = np.searchsorted(starts, at, "right") - 1
+        d = np.zeros(len(starts))
+        for w in np.unique(window[at + MIN_MATCH <= ends[window]]).tolist():
+            part = joined[starts[w]:ends[w]]
+            d[w] = len(self.plain.compress(part)) - len(self.both.compress(part))
         scale = math.sqrt(len(d) + 8)
         return [d.mean(), d.max(), np.maximum(d - 1, 0).sum() / scale,
                 *((d >= t).sum() / scale for t in THRESHOLDS)]
