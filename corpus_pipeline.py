@@ -13,16 +13,45 @@ from pyspark.sql import functions as F
 
 from domus.llm.common import table, written
 from domus.llm.op1_mixing import mix
+from domus.llm.op3_secrets import without_secrets
+from domus.llm.op4_toxicity import without_toxic
+from domus.llm.op5_minhash import without_duplicates
+from domus.llm.op9_decontamination import without_leaks
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go; the classifier is fitted on the labelled ones."""
+    return without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, that with the smallest id."""
+    return without_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced in the texts; every document stays."""
+    return without_secrets(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mix what is left to target weights: documents that the mix takes, with their number of copies."""
-    taken = mix(docs).filter("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"),
-                                                                  F.max("target").alias("target"))
-    return docs.join(taken, "doc_id")
+    """Documents that the mix takes, with ``mix_copies`` and their source's ``mix_target`` in words."""
+    taken = mix(docs).filter("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(
+        F.max("copies").alias("mix_copies"), F.max("target").alias("mix_target"))
+    return docs.drop("mix_copies", "mix_target").join(
+        taken, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))).drop("_id")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
     ("mixing", mixing),
 ]
 

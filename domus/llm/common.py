@@ -30,6 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Ids are broadcast up to this many (8 bytes each), and joined by shuffle beyond.
+BROADCAST_ROWS = 2_000_000
+
+
+def sized(ids: DataFrame) -> DataFrame:
+    """A written table of ids, marked for broadcast if it is counted to be small."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")

@@ -24,12 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domus.llm.common import binary_column, mixed, runs_of, table, word_hashes, written
+from domus.llm.common import binary_column, mixed, runs_of, sized, table, word_hashes, written
 
 LENGTH = 13
 SEED = 4
-#: Seed hashes are broadcast up to this many (8 bytes each), and joined by shuffle beyond.
-BROADCAST_ROWS = 2_000_000
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -134,13 +132,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                                                       F.explode("anchors").alias("anchor"))
     seeds = written(each.groupBy("anchor").agg(F.min("t").alias("low"), F.max("t").alias("high"))
                     .filter("low != high").select("anchor"), "sub-seeds")
-    if seeds.count() <= BROADCAST_ROWS:
-        seeds = F.broadcast(seeds)
-    seeded = each.join(seeds, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("seeds"))
+    seeded = each.join(sized(seeds), "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("seeds"))
     originals = base.filter("not copy").select("doc_id").distinct()
     seeded = written(seeded.join(originals, "doc_id", "left_semi"), "sub-seeded")
     ids = seeded.select("doc_id")
-    involved = d.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_semi")
+    involved = d.join(sized(ids), "doc_id", "left_semi")
     runs = involved.join(seeded, "doc_id").select("doc_id", "text", "seeds").mapInArrow(
         _runs(length), "h1 long, h2 long, doc_id long")
     owned = runs.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"))

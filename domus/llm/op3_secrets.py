@@ -17,10 +17,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from domus.llm.common import table
 
@@ -114,28 +115,50 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def scan(docs: DataFrame, min_bits: float = MIN_BITS, redact: bool = False) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, n_novel, base_sha256, spans and, if asked for, the redacted text."""
-    schema = ("doc_id long, n_assign long, n_access long, n_hex long, n_novel long, base_sha256 string, spans string"
-              + ", clean_text string" * redact)
-    names = [x.split()[0] for x in schema.split(", ")]
+FINDINGS = T.StructType([T.StructField("n_assign", T.LongType()), T.StructField("n_access", T.LongType()),
+                         T.StructField("n_hex", T.LongType()), T.StructField("n_novel", T.LongType()),
+                         T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType()),
+                         T.StructField("clean", T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def with_findings(docs: DataFrame, min_bits: float = MIN_BITS, redact: bool = False) -> DataFrame:
+    """All rows and columns of ``docs``, and ``_findings``: counts, digest, spans and, if asked for, the text
+    without its secrets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty()
-        for part in batches:
+        for batch in batches:
             rows = []
-            for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
+            for value in batch.column(batch.schema.get_field_index("text")):
+                text = value.as_py()
                 base = base_spans(text) if text else []
                 extra = novel_spans(text, base, novelty, min_bits) if text else []
-                kinds = [k for _, k, _ in base]
-                every = sorted(base + extra)
-                row = (doc_id, kinds.count(0), kinds.count(1), kinds.count(2), len(extra),
-                       hashlib.sha256(joined(base).encode()).hexdigest(), joined(every))
-                rows.append((*row, redacted(text, every) if text else text) if redact else row)
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"doc_id": "Int64"})
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInPandas(run, schema)
+                kinds, every = [k for _, k, _ in base], sorted(base + extra)
+                clean = redacted(text, every) if redact and text else text if redact else None
+                rows.append((kinds.count(0), kinds.count(1), kinds.count(2), len(extra),
+                             hashlib.sha256(joined(base).encode()).hexdigest(), joined(every), clean))
+            columns = [pa.array(c, pa.int64() if k < 4 else pa.string())
+                       for k, c in enumerate(zip(*rows, strict=True))] if rows else [
+                pa.array([], pa.int64() if k < 4 else pa.string()) for k in range(7)]
+            found = pa.StructArray.from_arrays(columns, names=FINDINGS.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "_findings"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_findings", FINDINGS)]))
+
+
+def scan(docs: DataFrame, min_bits: float = MIN_BITS) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, n_novel, base_sha256, spans of every document."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    return with_findings(d, min_bits).select("doc_id", *(f"_findings.{c}" for c in FINDINGS.names[:-1]))
+
+
+def without_secrets(docs: DataFrame) -> DataFrame:
+    """All rows of ``docs`` with the secrets in their texts replaced, and ``n_chars`` (if there) counted again."""
+    clean = with_findings(docs, redact=True).withColumn("text", F.col("_findings.clean"))
+    if "n_chars" in docs.columns:
+        changed = F.col("_findings.spans") != ""
+        clean = clean.withColumn("n_chars", F.when(changed, F.char_length("text")).otherwise(F.col("n_chars"))
+                                 .cast(docs.schema["n_chars"].dataType))
+    return clean.select(*docs.columns)
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

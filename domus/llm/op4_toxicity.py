@@ -24,10 +24,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from domus.llm.common import table
 
@@ -207,29 +208,36 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, n: int = SAMPLE) -> tupl
     return rows, n_toxic / n_all if n_all else 0.0
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every document."""
+def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """All rows and columns of ``docs`` and the score of the text."""
     dictionaries = model.dictionaries
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if model.weights is not None:
             dictionaries.open()
-        for part in batches:
-            if model.weights is None:
-                figures = np.zeros((len(part), 1))
-            else:
-                figures = np.array([dictionaries.figures(t) for t in part["text"]]).reshape(len(part), -1)
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "score": model.score(figures)})
+        for batch in batches:
+            figures = np.zeros((batch.num_rows, 1))
+            if model.weights is not None and batch.num_rows:
+                texts = batch.column(batch.schema.get_field_index("text"))
+                figures = np.array([dictionaries.figures(t.as_py()) for t in texts])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(figures), pa.float64())],
+                                             names=[*batch.schema.names, name])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, score double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    scored = score(docs, fit(*labelled_sample(docs, labels)))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return with_score(d, fit(*labelled_sample(docs, labels))).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that aren't predicted toxic, with their columns."""
+    model = fit(*labelled_sample(docs, labels))
+    return with_score(docs, model, "_toxicity").filter("_toxicity < 0.5").drop("_toxicity")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

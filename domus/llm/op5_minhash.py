@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domus.llm.common import binary_column, components, runs_of, table, word_hashes, written
+from domus.llm.common import binary_column, components, runs_of, sized, table, word_hashes, written
 
 WIDTH = 5
 PERCENT = 85
@@ -43,7 +43,6 @@ BEST = 2
 CROWD = 2048
 #: Share of equal sketch bytes that a pair at the threshold reaches but for odds of 1 in 1000.
 SKETCH_SLACK = 0.08
-BROADCAST_ROWS = 2_000_000
 
 _MULTIPLIERS = (np.random.Generator(np.random.PCG64(20240501)).integers(1, 1 << 62, HASHES, dtype=np.uint64)
                 * np.uint64(2) + np.uint64(1))
@@ -211,7 +210,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     gates = rep_gates.select(F.col("doc_id").alias("rep"), F.explode("gates").alias("gate")).distinct()
     met = gates.groupBy("gate").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low != high")
     ids = written(gates.join(met.select("gate"), "gate", "left_semi").select("rep").distinct(), "near-ids")
-    near = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    near = sized(ids)
     texts = d.join(near, d.doc_id == near.rep, "left_semi").dropDuplicates(["doc_id"])
     sets = written(texts.mapInArrow(
         _signatures, "rep long, n long, signature binary, sketch binary, shingles array<long>"), "near-sets")
@@ -250,6 +249,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with their columns: one of each component. Rows repeated with one doc_id and
+    text stay once; a doc_id with different texts stays if one of them does."""
+    found = near_duplicates(docs).filter("doc_id is not null").groupBy("doc_id").agg(
+        F.max("kept").alias("kept"), F.count("*").alias("times"))
+    odd = written(found.filter("not kept or times > 1").select(F.col("doc_id").alias("_id"), "kept"), "near-rejected")
+    rest = docs.join(sized(odd.select("_id")), F.col("doc_id") == F.col("_id"), "left_anti")
+    again = docs.join(sized(odd.filter("kept").select("_id")), F.col("doc_id") == F.col("_id"), "left_semi")
+    return rest.unionByName(again.dropDuplicates(["doc_id", "text"]))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))

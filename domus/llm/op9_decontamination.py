@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domus.llm.common import table, words, written
+from domus.llm.common import sized, table, words, written
 
 WIDTH = 5
 CONTAINMENT = 0.8
@@ -78,6 +78,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, containment: float = CON
         "doc_id", "item_id", "m.n_shingles", "m.n_shared", "m.containment")
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that leak no item, with their columns."""
+    leaking = written(contaminated(docs, benchmark).select(F.col("doc_id").alias("_id")).distinct(), "decontam-leaking")
+    return docs.join(sized(leaking), F.col("doc_id") == F.col("_id"), "left_anti")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All leaks of benchmark items into documents."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
