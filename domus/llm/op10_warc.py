@@ -26,7 +26,8 @@ from domus.session import scratch_path
 
 #: Payloads shorter than this are stored again rather than referred to.
 MIN_REVISIT_BYTES = 1000
-#: Target size of an archive file; readers hold one file at a time.
+#: Target size of an archive file; readers hold one file at a time. Partitions follow the advisory size of the session,
+#: and files are cut by the number of records that have this size on average.
 FILE_BYTES = 32 << 20
 WARC_DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -59,12 +60,10 @@ def _header(kind: str, *lines) -> F.Column:
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES) -> None:
     """Write request, response or revisit, and metadata records of every page as WARC files under ``path``.
 
-    Digests are in hexadecimal (``_hex`` reads base32 too). Header values lose CR and LF (percent-encoded). Files hold about
-    ``FILE_BYTES``: their number follows from one sum over the payload sizes.
+    Digests are in hexadecimal (``_hex`` reads base32 too). Header values lose CR and LF (percent-encoded).
     """
-    total = pages.select(F.sum(F.octet_length("html"))).first()[0] or 0
+    mean = pages.select(F.avg(F.octet_length("html"))).first()[0] or 0
     c = captures_to_write(pages, min_bytes)
-    c = c.repartition(max(1, -(-total // FILE_BYTES)), F.xxhash64("page_id", "sha"))
     c = c.withColumn("u", F.expr("uuid()"))
     uri = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     urn = lambda s: F.concat(F.lit(f"<urn:domus:{s}:"), F.col("u"), F.lit(">"))
@@ -95,7 +94,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
     request = record("request", urn("request"), get, "application/http; msgtype=request", link)
     metadata = record("metadata", urn("metadata"), meta, "application/warc-fields", link)
     rows = c.select(F.explode(F.array(request, main, metadata)).alias("value"))
-    rows.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    rows.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option(
+        "maxRecordsPerFile", 3 * max(1, int(FILE_BYTES // max(mean, 1)))).text(path)
 
 
 def _hex(digest: str | None) -> str | None:
