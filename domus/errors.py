@@ -7,6 +7,10 @@ class DomusError(Exception):
     """Base class."""
 
 
+class ConfigError(DomusError):
+    """The session lacks a setting that a cluster run needs."""
+
+
 class DataError(DomusError):
     """Input data is missing or malformed (no files, bad header)."""
 

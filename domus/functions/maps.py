@@ -14,7 +14,7 @@ def metric_tags(tags: Column, prefix: str = C.METRIC_TAG_PREFIX) -> Column:
     values that do not parse."""
     n = len(prefix)
     kept = F.map_filter(tags, lambda k, v: k.startswith(prefix))
-    stripped = F.transform_keys(kept, lambda k, v: F.substring(k, n + 1, 1 << 20))
+    stripped = F.transform_keys(kept, lambda k, v: F.substr(k, F.lit(n + 1)))
     parsed = F.transform_values(stripped, lambda k, v: v.try_cast("double"))
     return F.map_filter(parsed, lambda k, v: v.isNotNull())
 

@@ -3,7 +3,7 @@
 p-value: the asymptotic Kolmogorov law with effective size en = n1*n2/(n1+n2):
 Q(lambda) = 2 * sum_{k=1..100} (-1)^(k-1) exp(-2 k^2 lambda^2), lambda = sqrt(en) * D,
 clamped to [0, 1] and taken as 1 when lambda < 0.2 (the truncated series is wrong there,
-and Q is 1 to 12 digits). Evaluated as a Spark ``aggregate`` over ``sequence(1, 100)``
+and Q is 1 to 12 digits); null when the statistic is null (a side without values). Evaluated as a Spark ``aggregate`` over ``sequence(1, 100)``
 (DuckDB twin: ``list_reduce``), so it stays a column expression.
 """
 
@@ -24,14 +24,14 @@ def log_ratio(cur_share: Column, ref_share: Column, eps: float = C.PSI_EPS) -> C
 
 def ks_pvalue(d: Column, n1: Column, n2: Column) -> Column:
     """Asymptotic two-sided two-sample KS p-value for statistic ``d``."""
-    en = n1.cast("double") * n2.cast("double") / (n1 + n2).cast("double")
+    en = F.try_divide(n1.cast("double") * n2.cast("double"), (n1 + n2).cast("double"))
     lam = F.sqrt(en) * d
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
         lambda acc, k: acc + F.when(k % 2 == 1, F.lit(2.0)).otherwise(F.lit(-2.0))
         * F.exp(F.lit(-2.0) * k * k * lam * lam))
     q = F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0))
-    return F.when(lam < 0.2, F.lit(1.0)).otherwise(q)
+    return F.when(lam < 0.2, F.lit(1.0)).when(lam.isNotNull(), q)
 
 
 def ks_pvalue_sql(d: str, n1: str, n2: str) -> str:
@@ -40,4 +40,5 @@ def ks_pvalue_sql(d: str, n1: str, n2: str) -> str:
     terms = (f"list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END "
              f"* exp(-2.0 * k * k * {lam} * {lam}))")
     series = f"list_reduce(list_prepend(0.0, {terms}), lambda a, b: a + b)"
-    return f"(CASE WHEN {lam} < 0.2 THEN 1.0 ELSE least(greatest({series}, 0.0), 1.0) END)"
+    return (f"(CASE WHEN {lam} < 0.2 THEN 1.0 WHEN {lam} IS NOT NULL "
+            f"THEN least(greatest({series}, 0.0), 1.0) END)")

@@ -3,13 +3,11 @@ H5 identifier_check, H6 format_pln, H9 case_when (yes/no), H19 month_to_date.
 
 All are compositions of built-in functions (JVM side, inside whole-stage codegen).
 
-``normalise_text`` = casefold, ``ł``->``l``, strip accents, every run of characters
-outside ``[a-z0-9]`` -> one space, trim. Spark has no Unicode NFKD, so accents are
-removed with one ``translate`` table that maps each accented Latin letter to its base
-letter(s); the table is generated from Unicode decomposition of the Latin-1 Supplement
-and Latin Extended-A blocks, plus the letters NFKD does not decompose (``ł``, ``đ``,
-``ø``, ``ß`` ...). Characters outside that range are treated as separators, as NFKD +
-the ``[^a-z0-9]`` rule would do for any non-Latin script.
+``normalise_text`` = casefold, ``ł`` -> ``l``, compatibility decomposition without marks, every run of
+characters outside ``[a-z0-9]`` -> one space, trim. Spark has no Unicode decomposition, so ``translate`` tables are
+generated from it for all letters of the basic plane that come down to one ASCII letter or digit, and for the
+Latin letters and ligatures that come down to several. Combining marks that stand alone are deleted. Letters that
+do not decompose (``ø``, ``đ``, ``æ``) and other scripts separate words.
 """
 
 from __future__ import annotations
@@ -21,58 +19,43 @@ from pyspark.sql import functions as F
 
 from domus import constants as C
 
-# Letters without a canonical decomposition but with an obvious Latin base.
-_EXTRA = {"ł": "l", "Ł": "l", "đ": "d", "Đ": "d", "ø": "o", "Ø": "o", "ħ": "h", "Ħ": "h",
-          "ı": "i", "ŀ": "l", "Ŀ": "l", "ŧ": "t", "Ŧ": "t"}
+def _plain(ch: str) -> str:
+    """What one character comes down to."""
+    decomposed = unicodedata.normalize("NFKD", ch.casefold().replace("\u0142", "l"))
+    return "".join(c for c in decomposed if not unicodedata.combining(c))
 
 
-def _accent_table() -> tuple[str, str]:
-    """(from, to) for ``translate``: single accented letter -> single base letter (lower)."""
-    src, dst = [], []
-    for cp in range(0x00C0, 0x0180):
+def _tables() -> tuple[str, str, list[tuple[str, str]]]:
+    """(from, to) for ``translate``, and the Latin characters that become several."""
+    src, dst, several = [], [], []
+    for cp in [*range(0x80, 0xD800), *range(0xE000, 0x10000)]:
         ch = chr(cp)
-        low = ch.lower()
-        if ch in _EXTRA:
-            base = _EXTRA[ch]
-        else:
-            base = "".join(c for c in unicodedata.normalize("NFKD", low) if not unicodedata.combining(c))
-        if len(base) == 1 and base.isascii() and base != ch:
+        base = _plain(ch)
+        if len(base) == 1 and base.isascii() and base.isalnum():
             src.append(ch)
             dst.append(base)
-    return "".join(src), "".join(dst)
+        elif len(base) > 1 and (cp < 0x250 or 0x1E00 <= cp < 0x1F00 or 0xFB00 <= cp <= 0xFB06):
+            several.append((ch, base))
+    return "".join(src), "".join(dst), several
 
 
-ACCENTS_FROM, ACCENTS_TO = _accent_table()
+PLAIN_FROM, PLAIN_TO, SEVERAL = _tables()
 
 
 def normalise_text(col: Column) -> Column:
     """H2: lower, strip accents, non-alphanumeric runs -> one space, trim."""
-    low = F.lower(col)
-    plain = F.translate(low, ACCENTS_FROM, ACCENTS_TO)
-    # multi-letter expansions NFKD produces (ß -> ss, æ -> ae, œ -> oe, ĳ -> ij)
-    for a, b in (("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("ĳ", "ij")):
+    plain = F.translate(F.lower(col), PLAIN_FROM, PLAIN_TO)
+    for a, b in SEVERAL:
         plain = F.replace(plain, F.lit(a), F.lit(b))
-    return F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(plain, r"\p{Mn}+", ""), "[^a-z0-9]+", " "))
 
 
 def normalise_text_sql(x: str) -> str:
-    """DuckDB twin of ``normalise_text``."""
-    s = f"translate(lower({x}), '{ACCENTS_FROM}', '{ACCENTS_TO}')"
-    for a, b in (("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("ĳ", "ij")):
-        s = f"replace({s}, '{a}', '{b}')"
+    """The same for Latin text in DuckDB, by its own accent stripping."""
+    s = f"replace(replace(strip_accents(lower({x})), '\u0142', 'l'), '\u00df', 'ss')"
     return f"trim(regexp_replace({s}, '[^a-z0-9]+', ' ', 'g'))"
 
 
-def normalise_py(text: str) -> str:
-    """Reference behaviour in plain Python (used by tests): casefold + NFKD + strip marks."""
-    import re
-
-    folded = text.casefold().translate(str.maketrans({"ł": "l", "Ł": "l"}))
-    nfkd = unicodedata.normalize("NFKD", folded)
-    no_marks = "".join(ch for ch in nfkd if not unicodedata.combining(ch))
-    return re.sub(r"[^a-z0-9]+", " ", no_marks).strip()
-
-
 def word_contains(text_norm: Column, label_norm: Column) -> Column:
     """H3: whole-word containment on normalised text (only [a-z0-9 ] remain, so padding
     both sides with a space equals a word-boundary match)."""

@@ -19,6 +19,10 @@ from domus import constants as C
 from domus.errors import ContractError
 
 
+#: Column of the names of the columns whose cells did not parse, row by row.
+FAILURES = "coercion_failures"
+
+
 @dataclass(frozen=True)
 class RuleSpec:
     kind: str  # not_null | range | isin | not_future | trimmed_text | positive | min
@@ -64,9 +68,12 @@ class Contract:
         """B2: (missing, extra) column names; order is not enforced. Driver only, no job."""
         return check_columns(df.columns, list(self.columns), self.strict)
 
-    def validate(self, df: DataFrame, raise_on_error: bool = False) -> list[tuple[str, str, int]]:
-        """All rule counts at once; with ``raise_on_error`` one error lists every failure."""
+    def validate(self, df: DataFrame, raise_on_error: bool = False, ignore: tuple[str, ...] = ()) -> list[tuple[str, str, int]]:
+        """All rule counts at once; with ``raise_on_error`` one error lists every failure.
+        Cells that did not parse when the rows were loaded count as well; ``ignore`` names columns (keys) that may
+        stand beside the contract's."""
         missing, extra = self.check_columns(df)
+        extra = [c for c in extra if c != FAILURES and c not in ignore]
         fails: list[tuple[str, str, int]] = [("column_missing", c, 0) for c in missing]
         fails += [("column_extra", c, 0) for c in extra]
         if missing:
@@ -75,11 +82,21 @@ class Contract:
             return fails
         row = df.agg(*count_exprs(self.rules())).collect()[0]
         fails += [(r.kind, r.column, int(row[r.name])) for r in self.rules() if row[r.name]]
+        fails += coercion_counts(df)
         if raise_on_error and fails:
             raise ContractError(f"contract failed: {fails}", fails)
         return fails
 
 
+def coercion_counts(df: DataFrame) -> list[tuple[str, str, int]]:
+    """(coercion, column, rows) for cells that did not parse, from the ``FAILURES`` column that
+    ``load_snapshots(failures=True)`` adds; nothing without it."""
+    if FAILURES not in df.columns:
+        return []
+    rows = df.select(F.explode(FAILURES).alias("c")).groupBy("c").count().orderBy("c").collect()
+    return [("coercion", r["c"], int(r["count"])) for r in rows]
+
+
 def check_columns(actual: list[str], expected: list[str], strict: bool = True) -> tuple[list[str], list[str]]:
     missing = [c for c in expected if c not in actual]
     extra = [c for c in actual if c not in expected] if strict else []
@@ -103,7 +120,7 @@ def bad_expr(rule: RuleSpec) -> Column:
         return c > F.lit(year)
     if rule.kind == "trimmed_text":
         lo, hi = rule.params
-        return ~F.length(F.trim(c)).between(lo, hi)
+        return ~F.length(F.regexp_replace(c, r"^\s+|\s+$", "")).between(lo, hi)
     if rule.kind == "positive":
         return c <= 0
     raise ValueError(f"unknown rule kind {rule.kind}")

@@ -119,7 +119,7 @@ def value_counts(df: DataFrame, cols: list[str], side_col: str = "side") -> Data
     """(feature, value, n_ref, n_cur) over distinct non-null numeric values."""
     long = df.select(side_col, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [side_col], cols, "feature", "value")
-    return (long.where(F.col("value").isNotNull())
+    return (long.where(F.col("value").isNotNull())  # as the test itself; ``ks_test`` keeps a feature without values
             .groupBy("feature", "value").agg(*_side_counts(side_col)))
 
 
@@ -137,10 +137,14 @@ def ecdf_two_sample(df: DataFrame, cols: list[str], side_col: str = "side") -> D
 
 
 def ks_test(df: DataFrame, cols: list[str], side_col: str = "side") -> DataFrame:
-    """L3: (feature, statistic, p_value, n_ref, n_cur) per numeric column, nulls dropped."""
+    """L3: (feature, statistic, p_value, n_ref, n_cur) per numeric column, nulls dropped. A column without values
+    on a side can't be tested: its statistic and p-value are null, it stays in the table."""
     e = ecdf_two_sample(df, cols, side_col)
     d = e.groupBy("feature").agg(F.max(F.abs(F.col("F_ref") - F.col("F_cur"))).alias("statistic"),
                                  F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"))
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
+    d = every.join(d, "feature", "left").withColumns(
+        {n: F.coalesce(n, F.lit(0)).cast("long") for n in ("n_ref", "n_cur")})
     return d.withColumn("p_value", ks_pvalue(F.col("statistic"), F.col("n_ref"), F.col("n_cur")))
 
 

@@ -10,8 +10,8 @@ and how their parameters map:
 ``n_estimators``/``iterations`` -> ``maxIter`` (or ``numTrees``), ``max_depth``/``depth`` ->
 ``maxDepth``, ``learning_rate`` -> ``stepSize``, ``subsample`` -> ``subsamplingRate``,
 ``colsample_bytree`` -> ``featureSubsetStrategy`` (a fraction; per node in Spark),
-``random_state``/``seed`` -> ``seed``. Unknown parameters are ignored with no effect on
-the fit; ``num_leaves`` has no Spark twin (tree size is bounded by depth).
+``random_state``/``seed`` -> ``seed``. A parameter without a Spark
+twin (``num_leaves``, ``reg_lambda``) is an error rather than dropped.
 """
 
 from __future__ import annotations
@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 from domus.errors import TrainingError
 
 _GBT_NAMES = ("gbt", "xgboost", "lightgbm", "catboost")
+_TREES = {"max_depth", "depth", "subsample", "colsample_bytree", "random_state", "seed", "random_seed", "n_estimators",
+          "iterations"}
+_PARAMETERS = {"boosted": _TREES | {"learning_rate"}, "random_forest": _TREES, "linear": {"reg_param", "l1_ratio"}}
 KNOWN_ESTIMATORS = (*_GBT_NAMES, "random_forest", "linear")
 
 
@@ -49,6 +52,10 @@ def build_estimator(name: str, params: dict[str, Any] | None = None,
     params = dict(params or {})
     if name not in KNOWN_ESTIMATORS:
         raise TrainingError(f"unknown estimator {name!r}; known: {', '.join(sorted(KNOWN_ESTIMATORS))}")
+    group = "boosted" if name in _GBT_NAMES else name
+    unknown = sorted(set(params) - _PARAMETERS[group])
+    if unknown:
+        raise TrainingError(f"estimator {name!r} has no parameters {', '.join(unknown)}")
     kw = dict(featuresCol=features_col, labelCol=label_col)
     if name in _GBT_NAMES:
         kw.update(_common(params))
@@ -61,8 +68,9 @@ def build_estimator(name: str, params: dict[str, Any] | None = None,
         return GBTRegressor(**kw)
     if name == "random_forest":
         kw.update(_common(params))
-        if "n_estimators" in params:
-            kw["numTrees"] = int(params["n_estimators"])
+        for k in ("n_estimators", "iterations"):
+            if k in params:
+                kw["numTrees"] = int(params[k])
         return RandomForestRegressor(**kw)
     reg = float(params.get("reg_param", 0.0))
     return LinearRegression(regParam=reg, elasticNetParam=float(params.get("l1_ratio", 0.0)), **kw)

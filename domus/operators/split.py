@@ -108,6 +108,10 @@ def half_split(df: DataFrame, order_cols: list[str], side_col: str = "side",
     The order columns must form a unique key; buckets come from range partitioning on the
     whole key (checkpointed), so a repeated leading value does not make one hot bucket.
     """
+    dup = df.groupBy(*order_cols).count().filter(
+        (F.col("count") > 1) | F.greatest(*[F.col(c).isNull().cast("int") for c in order_cols], F.lit(0)).cast("boolean"))
+    if not dup.isEmpty():
+        raise TrainingError(f"half split needs a unique, non-null order key, not {order_cols}")
     # the row count comes from the same job that counts the range buckets
     seg = segment_by_rank(df, order_cols, lambda total: [total // 2], "_seg", n=n)
     return (seg.withColumn(side_col, F.when(F.col("_seg") == 0, "reference").otherwise("current"))

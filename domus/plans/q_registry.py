@@ -126,7 +126,7 @@ SELECT name, candidate_version, candidate, incumbent_version, incumbent,
        round(CASE WHEN incumbent IS NULL THEN NULL
                   ELSE (incumbent - candidate) / CASE WHEN incumbent = 0 THEN 1.0 ELSE abs(incumbent) END END, 6)
          AS relative_improvement,
-       CASE WHEN incumbent IS NULL THEN true
+       CASE WHEN candidate IS NULL THEN NULL WHEN incumbent IS NULL THEN true
             ELSE (incumbent - candidate) / CASE WHEN incumbent = 0 THEN 1.0 ELSE abs(incumbent) END > 0.0 END
          AS should_promote
 FROM c3""")
@@ -146,7 +146,7 @@ SELECT v.name, v.version, v.mae AS metric,
        round(CASE WHEN incumbent IS NULL THEN NULL
                   ELSE (incumbent - v.mae) / CASE WHEN incumbent = 0 THEN 1.0 ELSE abs(incumbent) END END, 6)
          AS relative_improvement,
-       CASE WHEN incumbent IS NULL THEN true
+       CASE WHEN v.mae IS NULL THEN NULL WHEN incumbent IS NULL THEN true
             ELSE (incumbent - v.mae) / CASE WHEN incumbent = 0 THEN 1.0 ELSE abs(incumbent) END > 0.0 END AS should_promote
 FROM versions v LEFT JOIN prod ON prod.name = v.name""")
 def q_compare_versions(spark: SparkSession, sf: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from domus import constants as C
-from domus.errors import TrainingError
+from domus.errors import ModelNotFoundError, TrainingError
 from domus.operators import conformal
 from domus.operators.features import ListingImputer, feature_pipeline, impute
 from domus.operators.metrics import evaluate
@@ -85,6 +85,16 @@ class TrainingRun:
     recommendation: dict[str, Any] | None = None
 
 
+def _incumbent(registry, model_name: str, metric: str) -> dict[str, float] | None:
+    """Metrics of the version in production if they hold ``metric``; only a missing version means none, a
+    registry that can't be read is an error."""
+    try:
+        metrics = registry.get_version(model_name, "production")["metrics"]
+    except ModelNotFoundError:
+        return None
+    return metrics if metric in metrics else None
+
+
 def train_flow(listings: DataFrame, *, estimator: str = "simple_linear", params: dict | None = None,
                alpha: float = C.CONFORMAL_ALPHA, test_size: float = C.TEST_SIZE,
                calibration_size: float = C.CALIBRATION_SIZE, seed: int = C.SEED,
@@ -96,30 +106,23 @@ def train_flow(listings: DataFrame, *, estimator: str = "simple_linear", params:
         # one computation of the (possibly joined) input, read back by every later job
         listings = materialize(listings)
     if contract is not None:
-        contract.validate(listings, raise_on_error=True)
-    split = exact_split(listings, key, test_size, calibration_size, seed).cache()
-    try:
-        train = split.filter(F.col("part") == "train")
-        model = fit(train, estimator, params)
-        scored = model.predict(split.filter(F.col("part") != "train"), keep=(C.TARGET, "part"))
-        cal = scored.filter(F.col("part") == "cal")
-        model.q = conformal.calibrate(cal, C.TARGET, "prediction", alpha)
-        metrics = evaluate(scored.filter(F.col("part") == "test"), C.TARGET, "prediction")
-        sizes = {r["part"]: int(r["count"]) for r in split.groupBy("part").count().collect()}
-    finally:
-        split.unpersist()
+        contract.validate(listings, raise_on_error=True, ignore=(key,))
+    split = materialize(exact_split(listings, key, test_size, calibration_size, seed))
+    train = split.filter(F.col("part") == "train")
+    model = fit(train, estimator, params)
+    scored = model.predict(split.filter(F.col("part") != "train"), keep=(C.TARGET, "part"))
+    cal = scored.filter(F.col("part") == "cal")
+    model.q = conformal.calibrate(cal, C.TARGET, "prediction", alpha)
+    metrics = evaluate(scored.filter(F.col("part") == "test"), C.TARGET, "prediction")
+    sizes = {r["part"]: int(r["count"]) for r in split.groupBy("part").count().collect()}
     run = TrainingRun(model, metrics, sizes)
     if registry is not None:
         from domus.operators.promotion import recommend_promotion
 
         metric_map = {k: float(v) for k, v in metrics.items()}
         run.version = registry.log_and_register(model, model_name, metric_map)
-        try:
-            incumbent = registry.get_version(model_name, "production")
-            inc_metrics = incumbent["metrics"] if primary_metric in incumbent["metrics"] else None
-        except Exception:  # no production version yet
-            inc_metrics = None
-        run.recommendation = recommend_promotion(metric_map, inc_metrics, primary=primary_metric)
+        run.recommendation = recommend_promotion(metric_map, _incumbent(registry, model_name, primary_metric),
+                                                 primary=primary_metric)
     return run
 
 
@@ -196,27 +199,31 @@ def cv_fold_scores(df: DataFrame, x: str, y: str, fold_col: str = "fold") -> Dat
 # ---------------------------------------------------------------------------
 # K10 tune: seeded random search over the boosting space, CV MAE, trial/time limits
 # ---------------------------------------------------------------------------
-def propose(rng: random.Random) -> dict[str, Any]:
-    """Trees 50..400 step 50, depth 2..8, learning rate log-uniform 1e-3..0.3."""
+TREES = tuple(range(50, 401, 50))
+DEPTHS = tuple(range(2, 9))
+
+
+def propose(rng: random.Random, trees: tuple[int, ...] = TREES, depths: tuple[int, ...] = DEPTHS) -> dict[str, Any]:
+    """One point of the space: tree counts, depths, learning rate log-uniform 1e-3..0.3."""
     import math
 
     return {
-        "n_estimators": rng.choice(list(range(50, 401, 50))),
-        "max_depth": rng.randint(2, 8),
+        "n_estimators": rng.choice(trees),
+        "max_depth": rng.choice(depths),
         "learning_rate": math.exp(rng.uniform(math.log(1e-3), math.log(0.3))),
     }
 
 
 def tune(train: DataFrame, n_trials: int = 5, timeout_seconds: float = 1800.0,
          estimator: str = "gbt", cv_folds: int = 5, seed: int = C.SEED, key: str = "uid",
-         max_trees: int | None = None) -> tuple[dict[str, Any], DataFrame]:
+         trees: tuple[int, ...] = TREES, depths: tuple[int, ...] = DEPTHS) -> tuple[dict[str, Any], DataFrame]:
     """Minimise cross-validated MAE. Returns (best params, per-trial scores frame).
 
     Folds are exact seeded k-folds over ``key``. The imputer and encoders are fitted once per
     fold (on that fold's training rows) and the assembled vectors are cached, so each trial
     only refits the learner. Same seed -> same proposals -> same result. Stops after
     ``n_trials`` or when ``timeout_seconds`` is spent (at least one trial runs).
-    ``max_trees`` optionally caps proposed tree counts (for quick runs).
+    ``trees`` and ``depths`` are the space that is searched; every proposal is run as it is.
     """
     from pyspark.ml import Pipeline
 
@@ -243,9 +250,7 @@ def tune(train: DataFrame, n_trials: int = 5, timeout_seconds: float = 1800.0,
         for trial in range(n_trials):
             if trial > 0 and time.monotonic() - start > timeout_seconds:
                 break
-            params = propose(rng)
-            if max_trees is not None:
-                params["n_estimators"] = min(params["n_estimators"], max_trees)
+            params = propose(rng, trees, depths)
             maes = []
             for vtr, vva in prepared:
                 learner = build_estimator(estimator, params, label_col="label").fit(vtr)

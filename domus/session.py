@@ -1,8 +1,8 @@
 """Session helpers: local session for tests/bench, checkpoint dir, shared scratch paths.
 
 On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...). It is read
-from the session. Only when it is unset (local runs, tests) do we point it at a fresh
-local folder.
+from the session. Only when it is unset in a local session do we point it at a fresh
+local folder; on a cluster an unset folder is an error.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from domus.errors import ConfigError
+
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
@@ -47,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise ConfigError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="domus-ckpt-")
         spark.conf.set(_CKPT_KEY, root)
     if sc.getCheckpointDir() is None:

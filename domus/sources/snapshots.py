@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from domus import constants as C
 from domus.errors import DataError
+from domus.operators.contract import FAILURES
 
 # Contract type per normalised column.
 LISTING_TYPES: dict[str, T.DataType] = {
@@ -61,9 +62,14 @@ def rename_columns(df: DataFrame) -> DataFrame:
 
 
 def coerce_column(name: str, col: Column | None = None) -> Column:
-    """Cast one column to its contract type; impossible values become null."""
+    """Cast one column to its contract type; impossible values become null (``coercion_failures`` and
+    ``failed_columns`` count them). A whole number written as ``3.0`` is an integer."""
     col = F.col(name) if col is None else col
-    return col.try_cast(LISTING_TYPES[name])
+    kind = LISTING_TYPES[name]
+    if not isinstance(kind, T.LongType):
+        return col.try_cast(kind)
+    exact = col.try_cast(T.DecimalType(38, 6))
+    return F.coalesce(col.cast("string").try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast(kind)))
 
 
 def coerce_types(df: DataFrame) -> DataFrame:
@@ -84,16 +90,28 @@ def coercion_failures(raw: DataFrame, cols: list[str] | None = None) -> list[Col
     return out
 
 
-def normalise(raw: DataFrame, month: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+def failed_columns(cols: list[str]) -> Column:
+    """B3 row by row: names of the columns whose non-null text does not parse."""
+    return F.array_compact(F.array(*[
+        F.when(F.col(c).isNotNull() & coerce_column(c).isNull(), F.lit(c))
+        for c in cols if c in LISTING_TYPES and c not in C.BOOL_FEATURES]))
+
+
+def normalise(raw: DataFrame, month: Column | None = None, keep: tuple[str, ...] = (),
+              failures: bool = False) -> DataFrame:
     """A4 + A5 + A3 + B3 + B1: raw snapshot rows -> the 29 contract columns in order.
 
     ``month`` is the ``YYYY-MM`` stamp expression; when omitted the frame must already
     carry ``snapshot_month``. Columns beyond the 28 raw ones are dropped except ``keep``.
+    With ``failures`` a column lists for each row which cells did not parse; a contract counts them.
     """
     df = rename_columns(raw)
     df = df.withColumns({c: yes_no_to_bool(c) for c in C.BOOL_FEATURES})
     if month is not None:
         df = df.withColumn("snapshot_month", month)
+    if failures:
+        df = df.withColumn(FAILURES, failed_columns(df.columns))
+        keep = (*keep, FAILURES)
     df = coerce_types(df)
     return project_contract(df, keep)
 
@@ -135,14 +153,14 @@ def read_headers(spark: SparkSession, files: list[str]) -> dict[str, tuple[str,
     return {r["f"]: tuple(next(csv.reader([r["h"]]))) for r in rows}
 
 
-def load_snapshots(spark: SparkSession, raw_dir: str) -> DataFrame:
+def load_snapshots(spark: SparkSession, raw_dir: str, failures: bool = False) -> DataFrame:
     """Every ``apartments_pl_YYYY_MM.csv`` under ``raw_dir`` (searched recursively,
     so a month may be sharded over several directories) as one frame of 29 columns.
 
     Rent files and other look-alikes are skipped by the file-name filter. Files are grouped
     by header order (columns bind by position in CSV), each group is one multi-file scan,
     and the groups are stacked with ``unionByName``. Raises ``DataError`` when no file
-    matches or a header lacks a column.
+    matches or a header lacks a column. ``failures``: see ``normalise``.
     """
     probe = (spark.read.option("header", True).option("pathGlobFilter", C.SALE_FILE_GLOB)
              .option("recursiveFileLookup", True).option("inferSchema", False))
@@ -160,7 +178,7 @@ def load_snapshots(spark: SparkSession, raw_dir: str) -> DataFrame:
     raw = frames[0]
     for other in frames[1:]:
         raw = raw.unionByName(other)
-    return normalise(raw, month_from_file_name(F.col("_file_name")))
+    return normalise(raw, month_from_file_name(F.col("_file_name")), failures=failures)
 
 
 def write_snapshot_files(raw: DataFrame, month_col: str, root: str,

@@ -9,6 +9,7 @@ import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from domus import constants as C
 from domus.errors import StorageError
@@ -40,3 +41,14 @@ class TableStore:
             return self.spark.read.parquet(path)
         except AnalysisException as exc:
             raise StorageError(f"could not read table {name!r}: {exc}") from exc
+
+
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A Parquet table, or None if its path does not exist; any other failure is raised, so that a table
+    that can't be read is never taken for an empty one."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

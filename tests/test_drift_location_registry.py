@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from domus import constants as C
 from domus.errors import ModelNotLoadedError, MonitoringError, RegistryError
-from domus.functions.text import normalise_py, normalise_text
+from domus.functions.text import normalise_text
 from domus.operators import drift as D
 from domus.operators import location as L
 from domus.operators.promotion import recommend_promotion
@@ -82,10 +82,52 @@ def test_drift_job_single_month_halves(spark):
         drift_job(df.limit(1))
 
 
-@pytest.mark.parametrize("text", ["Łódź", "Kraków", "ŚRÓDMIEŚCIE 12", "Praga-Południe", "ul. Długa 5, Wola", "  ", "Żółć ĘĄ"])
-def test_normalise_matches_python(spark, text):
+@pytest.mark.parametrize("text,plain", [
+    ("ul. Puławska 10, Mokotów", "ul pulawska 10 mokotow"), ("  ŁÓDŹ--Śródmieście ", "lodz srodmiescie"),
+    ("Lo\u0301dz\u0301 S\u0301ro\u0301dmies\u0301cie", "lodz srodmiescie"), ("søby", "s by"), ("Hà Nội", "ha noi"),
+    ("Straße ﬁn", "strasse fin"), ("ＡＢ１²", "ab12"), ("Đà Æon", "a on"), ("日本 x", "x"), ("", "")])
+def test_normalise_text(spark, text, plain):
     got = spark.createDataFrame([(text,)], "t string").select(normalise_text(F.col("t"))).first()[0]
-    assert got == normalise_py(text)
+    assert got == plain
+
+
+def test_drift_of_columns_without_values(spark):
+    from domus.operators import drift as D
+
+    rows = [("reference", float(k), None, float(k)) for k in range(60)] + [("current", None, None, k + 30.0) for k in range(60)]
+    df = spark.createDataFrame(rows, "side string, one double, none double, both double")
+    got = {r.feature: r for r in D.drift_features(df).collect()}
+    assert set(got) == {"one", "none", "both"}
+    for name in ("one", "none"):
+        assert got[name].statistic is None and got[name].p_value is None and got[name].drifted is None
+    assert got["both"].drifted
+    verdict = D.drift_verdict(D.drift_features(df)).first()
+    assert verdict.n_features == 3 and verdict.n_drifted == 1 and abs(verdict.share_drifted - 1 / 3) < 1e-9
+
+
+def test_table_forms_do_not_judge_without_a_metric(spark):
+    from domus.operators import promotion as P
+
+    df = spark.createDataFrame([("a", None, 1.0), ("b", None, None), ("c", 2.0, None), ("d", 1.0, 2.0)],
+                               "name string, candidate double, incumbent double")
+    got = {r.name: (r.should_promote, r.reason) for r in P.recommend_all(df).select(
+        F.col("name"), "should_promote", "reason").collect() for r in [r]}
+    assert got["a"][0] is None and got["b"][0] is None and "no metric" in got["a"][1]
+    assert got["c"] == (True, P.NO_INCUMBENT) and got["d"][0] is True and got["d"][1].endswith("-> promote")
+
+
+def test_no_stage_event_without_a_version(spark, tmpdir_path):
+    from domus.errors import ModelNotFoundError
+    from domus.plans.training import FittedModel
+
+    reg = Registry(spark, tmpdir_path)
+    model = FittedModel("simple_linear", {c: 1.0 for c in C.NUMERIC_FEATURES}, slope=2.0, intercept=3.0, q=4.5)
+    reg.log_and_register(model, "m", {"mae": 10.0})
+    with pytest.raises(ModelNotFoundError):
+        reg.transition_stage("m", "2", "production")
+    assert reg.log_and_register(model, "m", {"mae": 9.0})["stage"] == "none"
+    with pytest.raises(ModelNotFoundError):
+        reg.get_version("m", "production")
 
 
 def test_location_cases(spark):

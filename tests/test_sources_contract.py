@@ -6,6 +6,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from domus import constants as C
 from domus.errors import ContractError, DataError, StorageError
@@ -128,3 +129,45 @@ def test_table_store(spark, tmpdir_path):
     for bad in ("1abc", "a-b", "a b", "x;drop"):
         with pytest.raises(StorageError):
             store.write(bad, df)
+
+
+def test_cells_that_do_not_parse_are_counted(spark):
+    from domus import constants as C
+    from domus.operators.contract import FAILURES, coercion_counts
+    from domus.sources.snapshots import LISTING_TYPES, normalise
+
+    back = {v: k for k, v in C.RENAME.items()}
+    names = [c for c in C.LISTING_COLUMNS if c != "snapshot_month"]
+    good = {c: "1" if not isinstance(LISTING_TYPES[c], T.StringType) else "x" for c in names}
+    rows = [good, {**good, "rooms": "3.0"}, {**good, "rooms": "3.5"}, {**good, "rooms": "many", "latitude": "north"},
+            {**good, "rooms": None}]
+    raw = spark.createDataFrame([tuple(r[c] for c in names) for r in rows],
+                                ", ".join(f"`{back.get(c, c)}` string" for c in names))
+    out = normalise(raw, F.lit("2024-01"), failures=True)
+    assert sorted(coercion_counts(out)) == [("coercion", "latitude", 1), ("coercion", "rooms", 2)]
+    assert [r.rooms for r in out.collect()] == [1, 3, None, None, None]
+    assert FAILURES not in normalise(raw, F.lit("2024-01")).columns
+
+
+def test_upsert_keeps_the_later_row_by_number(spark, tmpdir_path):
+    from domus import constants as C
+    from domus.sources import listings as LS
+
+    defaults = {f.name: {"string": "x", "double": 1.0, "bigint": 1, "boolean": True}[f.dataType.simpleString()]
+                for f in LS.LISTINGS_SCHEMA.fields}
+    rows = [{**defaults, "id": "a", "snapshot_month": "2024-01", "price_pln": p, "seq": s} for s, p in ((9, 100), (10, 200))]
+    schema = T.StructType([*LS.LISTINGS_SCHEMA.fields, T.StructField("seq", T.LongType())])
+    batch = spark.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in rows], schema)
+    for _ in range(2):  # twice: the second upsert changes nothing
+        assert LS.upsert(spark, f"{tmpdir_path}/t", batch, order_col="seq") == 2
+        assert [(r.id, r.price_pln) for r in LS.fetch_all(spark, f"{tmpdir_path}/t").collect()] == [("a", 200)]
+    assert set(C.LISTING_COLUMNS) == {f.name for f in LS.LISTINGS_SCHEMA.fields}
+
+
+def test_an_unreadable_table_is_not_an_empty_one(spark, tmpdir_path):
+    from domus.sources.store import read_if_there
+
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    assert read_if_there(spark, f"{tmpdir_path}/nothing", schema) is None
+    with pytest.raises(Exception, match="(?i)scheme|filesystem|UnknownHost|class"):
+        read_if_there(spark, "nowhere://host/table", schema)
