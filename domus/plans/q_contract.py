@@ -57,14 +57,19 @@ def q_project_contract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --- B2 (rows) --------------------------------------------------------------
-@register("check_columns")
+@register("check_columns", panel_sql() + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{'extra' if c == 'uid' else 'ok'}' AS status, count({c}) AS n_values FROM panel"
+    for c in (*C.LISTING_COLUMNS, "uid")))
 def q_check_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """B2: strict column check of the panel (with its extra ``uid``) against the contract."""
+    """B2: strict column check of the panel (with its extra ``uid``) against the contract, with the number of values
+    that each column holds."""
     df = panel(spark, sf)
     missing, extra = panel_contract().check_columns(df)
-    rows = [(c, "missing") for c in missing] + [(c, "extra") for c in extra] + [
-        (c, "ok") for c in C.LISTING_COLUMNS if c not in missing]
-    return spark.createDataFrame(rows, "column string, status string")
+    status = {c: "extra" if c in extra else "ok" for c in df.columns} | {c: "missing" for c in missing}
+    present = [c for c in status if c not in missing]
+    filled = df.agg(*[F.count(c).alias(c) for c in present]).unpivot([], present, "column", "n_values")
+    names = spark.createDataFrame(list(status.items()), "column string, status string")
+    return names.join(filled, "column", "left")
 
 
 # --- B3 -------------------------------------------------------------------

@@ -136,7 +136,8 @@ def q_half_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --- G3 (rows) -------------------------------------------------------------------
-@register("shared_columns")
+@register("shared_columns", "SELECT * FROM (VALUES " + ", ".join(
+    f"({k}, '{c}')" for k, c in enumerate(C.LISTING_COLUMNS)) + ") AS t(position, \"column\")")
 def q_shared_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Columns shared by the reference and current frames, in reference order."""
     s = sided(spark, sf)

@@ -213,7 +213,13 @@ def q_epoch_ms_to_ts(spark: SparkSession, sf: str) -> DataFrame:
     return v.select("name", "version", epoch_ms_to_ts(F.unix_millis("created_at")).alias("created_at"))
 
 
-@register("artifact_save_load")
+@register("artifact_save_load", S.linear_ctes() + S.conformal_ctes() + """
+, px AS (SELECT uid, CAST(round_even(prediction, 0) AS BIGINT) AS p, q FROM pred CROSS JOIN qv WHERE part = 'test')
+SELECT uid, p AS predicted_price,
+       greatest(CAST(round_even(CAST(p AS DOUBLE) - q, 0) AS BIGINT), 0) AS interval_low,
+       CAST(round_even(CAST(p AS DOUBLE) + q, 0) AS BIGINT) AS interval_high,
+       'price' AS model_name, '1' AS model_version
+FROM px""")
 def q_artifact_save_load(spark: SparkSession, sf: str) -> DataFrame:
     """Register the linear model (with q), load it back through the registry, score."""
     from domus.operators import conformal
@@ -229,7 +235,9 @@ def q_artifact_save_load(spark: SparkSession, sf: str) -> DataFrame:
     return pred.score(split.filter(F.col("part") == "test"), keep=("uid",)).drop("predicted_at")
 
 
-@register("load_or_fail")
+@register("load_or_fail", """
+SELECT * FROM (VALUES ('before_register', false, 'ModelNotLoadedError'), ('after_register', true, '1'))
+  AS t(step, loaded, detail)""")
 def q_load_or_fail(spark: SparkSession, sf: str) -> DataFrame:
     """A missing model fails as one error and caches nothing; a registered one loads."""
     reg = R.Registry(spark, scratch_path(spark, "registry"))

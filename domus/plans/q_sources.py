@@ -68,11 +68,12 @@ def q_table_read(spark: SparkSession, sf: str) -> DataFrame:
     return store.read("prices").select("uid", "price_pln")
 
 
+_FILLED = ", ".join(f"coalesce({c}, false) AS {c}" for c in C.BOOL_FEATURES)
 _NN = " AND ".join(f"{c} IS NOT NULL" for c in ("id", "city", "square_meters", "rooms", "latitude", "longitude",
                    "centre_distance_km", "poi_count", "ownership", "has_parking", "has_balcony",
                    "has_security", "has_storage", "price_pln", "snapshot_month"))
 UPSERT_SQL = panel_sql() + f""",
-valid AS (SELECT * FROM panel WHERE {_NN}),
+valid AS (SELECT * FROM (SELECT * REPLACE ({_FILLED}) FROM panel) WHERE {_NN}),
 b AS (SELECT p.*, 1 AS batch FROM valid p
       UNION ALL
       SELECT p.* REPLACE (price_pln + 1000 AS price_pln), 2 AS batch FROM valid p WHERE build_year IS NULL),
@@ -81,11 +82,12 @@ SELECT """ + ", ".join(C.LISTING_COLUMNS) + " FROM r WHERE rn = 1"
 
 
 def valid_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """Panel rows that pass the NOT NULL rules of the table (B12 split, valid side)."""
+    """Panel rows as the table takes them: unknown yes/no cells are false, then the NOT NULL rules (B12 split,
+    valid side)."""
     from domus.operators.contract import split_valid_rejected
     from domus.sources.listings import _NOT_NULL
 
-    valid, _ = split_valid_rejected(panel(spark, sf), _NOT_NULL)
+    valid, _ = split_valid_rejected(panel(spark, sf).fillna(False, list(C.BOOL_FEATURES)), _NOT_NULL)
     return valid
 
 
@@ -113,13 +115,27 @@ def q_panel_fetch_all(spark: SparkSession, sf: str) -> DataFrame:
     return LS.fetch_all(spark, path).select("id", "snapshot_month", "price_pln")
 
 
-@register("panel_table_schema")
+@register("panel_table_schema", panel_sql() + f""",
+valid AS (SELECT * FROM (SELECT * REPLACE ({_FILLED}) FROM panel) WHERE {_NN}),
+r AS (SELECT *, row_number() OVER (PARTITION BY id, snapshot_month ORDER BY uid DESC) AS rn FROM valid),
+t AS (SELECT * FROM r WHERE rn = 1)
+""" + "\nUNION ALL ".join(
+    f"SELECT '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS type, "
+    f"{str(f.name == 'snapshot_month').lower()} AS is_partition, count({f.name}) AS n_values FROM t"
+    for f in LS.LISTINGS_SCHEMA.fields))
 def q_panel_table_schema(spark: SparkSession, sf: str) -> DataFrame:
-    """The typed panel table (NOT NULL flags, month partitions, city-sorted files)."""
+    """Columns, types and partitions of the written panel table, read back from its files, and the number
+    of values in each column."""
     path = scratch_path(spark, "listings")
     LS.upsert(spark, path, valid_panel(spark, sf).select(*C.LISTING_COLUMNS, "uid"), order_col="uid")
-    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in LS.LISTINGS_SCHEMA.fields]
-    return spark.createDataFrame(rows, "column string, type string, nullable boolean")
+    stored = spark.read.schema(LS.LISTINGS_SCHEMA).parquet(path)
+    month = spark.read.format("binaryFile").load(path).select(  # the directories say what the table is split by
+        F.regexp_extract(F.col("path"), r"/([^/=]+)=[^/]*/[^/]*$", 1).alias("p")).distinct()
+    types = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in stored.schema.fields],
+                                  "column string, type string")
+    filled = stored.agg(*[F.count(c).alias(c) for c in stored.columns]).unpivot([], stored.columns, "column", "n_values")
+    return (types.join(filled, "column").join(month, F.col("column") == F.col("p"), "left")
+            .select("column", "type", F.col("p").isNotNull().alias("is_partition"), "n_values"))
 
 
 def _log_sql() -> str:
