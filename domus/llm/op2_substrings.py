@@ -67,18 +67,27 @@ def covered(n_words: int, starts: np.ndarray, length: int = LENGTH) -> np.ndarra
     return np.cumsum(mark)[:n_words] > 0
 
 
-def _fingerprints(length):
+def _fingerprints(batches):
+    for batch in batches:
+        sizes, digests = [], []
+        for data in binary_column(batch, "text"):
+            found = (data or b"").split()
+            sizes.append(len(found))
+            digests.append(hashlib.sha256(b" ".join(found)).hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())],
+                                         names=["doc_id", "n_words", "sha"])
+
+
+def _anchors(length):
     def run(batches):
         for batch in batches:
-            rows = ([], [], [])
+            same, found = [], []
             for data in binary_column(batch, "text"):
-                found = (data or b"").split()
-                rows[0].append(len(found))
-                rows[1].append(hashlib.sha256(b" ".join(found)).hexdigest())
-                rows[2].append(anchors(word_hashes(data or b""), length).view(np.int64))
+                same.append(xxhash.xxh3_64_intdigest(b" ".join((data or b"").split())) - (1 << 63))
+                found.append(anchors(word_hashes(data or b""), length).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()),
-                 pa.array(rows[2], pa.list_(pa.int64()))], names=["doc_id", "n_words", "sha", "anchors"])
+                [batch.column(0), pa.array(same, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                names=["doc_id", "t", "anchors"])
     return run
 
 
@@ -122,14 +131,14 @@ def _removals(length):
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    prints = written(d.mapInArrow(_fingerprints(length), "doc_id long, n_words long, sha string, anchors array<long>"),
-                     "sub-prints")
+    prints = written(d.mapInArrow(_fingerprints, "doc_id long, n_words long, sha string"), "sub-prints")
     first = prints.groupBy(F.col("sha").alias("same")).agg(F.min("doc_id").alias("first_id"))
     base = written(prints.select("doc_id", "n_words", "sha").join(first, F.col("sha") == F.col("same")).select(
         "doc_id", "n_words", "sha", F.coalesce(F.col("first_id") < F.col("doc_id"), F.lit(False)).alias("copy")),
         "sub-base")
-    each = prints.filter("doc_id is not null").select("doc_id", F.xxhash64("sha").alias("t"),
-                                                      F.explode("anchors").alias("anchor"))
+    # computed twice rather than kept: the anchors of all documents are as large as a third of the texts
+    each = d.filter("doc_id is not null").mapInArrow(_anchors(length), "doc_id long, t long, anchors array<long>").select(
+        "doc_id", "t", F.explode("anchors").alias("anchor"))
     seeds = written(each.groupBy("anchor").agg(F.min("t").alias("low"), F.max("t").alias("high"))
                     .filter("low != high").select("anchor"), "sub-seeds")
     seeded = each.join(sized(seeds), "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("seeds"))
