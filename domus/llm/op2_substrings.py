@@ -1,6 +1,6 @@
 """Substring dedup by seed and extend: passages of 13 words or more that a smaller document holds too are removed.
 
-1. Seeds: every run of 13 words holds ten 4-word shingles; the smallest hash of the ten is an anchor (winnowing), so two
+1. Seeds: every run of 13 words holds eight 6-word shingles; the smallest hash of the eight is an anchor (winnowing), so two
    documents that share a run share an anchor. Documents with the same words are merged first. Anchors are joined
    across documents, and those in two different texts or more are seeds.
 2. Extend: a document grows each of its seeds to the left and right into all runs of 13 words around it. Runs are
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from domus.llm.common import binary_column, mixed, runs_of, sized, table, word_hashes, written
 
 LENGTH = 13
-SEED = 4
+SEED = 6
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:

@@ -48,7 +48,7 @@ def test_every_run_holds_an_anchor():
     kept = set(op2_substrings.anchors(h).tolist())
     shingles = common.runs_of(h, op2_substrings.SEED)
     for k in range(len(h) - 12):
-        assert kept & set(shingles[k:k + 10].tolist())
+        assert kept & set(shingles[k:k + 14 - op2_substrings.SEED].tolist())
 
 
 def shingles(text, width=5):
