@@ -18,6 +18,8 @@ and a full rank sorts each bucket independently.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,7 +60,7 @@ def _lex_greater(order_cols: list[str], values: list) -> Column:
 
 
 def _bucket_offsets(df: DataFrame, weight: Column | None = None,
-                    unique_key: str | None = None) -> list[tuple[int, int, int]]:
+                    unique_key: str | list[str] | None = None) -> list[tuple[int, int, int]]:
     """Sorted (bucket, offset, total) — one row per non-empty bucket (bounded, collected).
 
     With ``unique_key`` (a key that determines the bucket) the same job also verifies the
@@ -67,7 +69,9 @@ def _bucket_offsets(df: DataFrame, weight: Column | None = None,
     w = F.count(F.lit(1)) if weight is None else F.sum(weight)
     aggs = [w.alias("_t")]
     if unique_key is not None:
-        aggs += [F.count_distinct(unique_key).alias("_d"), F.count(unique_key).alias("_nn")]
+        keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
+        whole = reduce(and_, [F.col(c).isNotNull() for c in keys])
+        aggs += [F.count_distinct(*keys).alias("_d"), F.count(F.when(whole, 1)).alias("_nn")]
     rows = df.groupBy(_BUCKET_COL).agg(*aggs).collect()
     if unique_key is not None:
         dup = sum(int(r["_t"]) - int(r["_d"]) for r in rows)
@@ -98,7 +102,7 @@ def with_buckets(df: DataFrame, order_cols: list[str], bucket: Column | None,
 
 
 def cut_keys(df: DataFrame, order_cols: list[str], cuts, bucket: Column | None = None,
-             n: int | None = None, unique_key: str | None = None) -> tuple[dict[int, list], list[int], int]:
+             n: int | None = None, unique_key: str | list[str] | None = None) -> tuple[dict[int, list], list[int], int]:
     """Order-key values of the rows at the given 1-based ranks (only cut buckets are sorted).
 
     ``cuts`` is a list of ranks or a function of the row count returning one. Returns
@@ -126,7 +130,7 @@ def cut_keys(df: DataFrame, order_cols: list[str], cuts, bucket: Column | None =
 
 def segment_by_rank(df: DataFrame, order_cols: list[str], cuts, segment_col: str = "segment",
                     bucket: Column | None = None, n: int | None = None,
-                    unique_key: str | None = None) -> DataFrame:
+                    unique_key: str | list[str] | None = None) -> DataFrame:
     """Label rows 0..len(cuts) by rank: segment s holds ranks in (cuts[s-1], cuts[s]].
 
     Exact and partition-independent; order keys must be unique and non-null. Only the

@@ -32,17 +32,27 @@ def split_sizes(n: int, test_size: float, calibration_size: float) -> tuple[int,
 _DIGITS = 4
 
 
-def hash_segments(df: DataFrame, key: str, seed: int, cuts, col: str,
+def default_key(df: DataFrame) -> str | tuple[str, ...]:
+    """``uid`` where there is one, else the key of the listing panel."""
+    return "uid" if "uid" in df.columns else ("id", "snapshot_month")
+
+
+def key_columns(key: str | tuple[str, ...]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def hash_segments(df: DataFrame, key: str | tuple[str, ...], seed: int, cuts, col: str,
                   check_unique: bool = True) -> DataFrame:
     """Segments of the seeded hash order; row count (and key uniqueness) come from the same
     job that counts the hash buckets."""
-    with_h = df.withColumn(_H, hash_order(seed, key))
-    out = segment_by_rank(with_h, [_H, key], cuts, col, bucket=hash_bucket(_H, _DIGITS),
-                          unique_key=key if check_unique else None)
+    keys = key_columns(key)
+    with_h = df.withColumn(_H, hash_order(seed, *keys))
+    out = segment_by_rank(with_h, [_H, *keys], cuts, col, bucket=hash_bucket(_H, _DIGITS),
+                          unique_key=keys if check_unique else None)
     return out.drop(_H)
 
 
-def exact_split(df: DataFrame, key: str = "uid", test_size: float = C.TEST_SIZE,
+def exact_split(df: DataFrame, key: str | tuple[str, ...] = "uid", test_size: float = C.TEST_SIZE,
                 calibration_size: float = C.CALIBRATION_SIZE, seed: int = C.SEED,
                 part_col: str = "part", check_unique: bool = True) -> DataFrame:
     """K1: label each row 'test' / 'cal' / 'train' with exact sizes.
@@ -81,7 +91,7 @@ def kfold_sizes(n: int, k: int) -> list[int]:
     return [n // k + (1 if i < n % k else 0) for i in range(k)]
 
 
-def kfold_assign(df: DataFrame, key: str = "uid", k: int = 5, seed: int = C.SEED,
+def kfold_assign(df: DataFrame, key: str | tuple[str, ...] = "uid", k: int = 5, seed: int = C.SEED,
                  fold_col: str = "fold", check_unique: bool = True) -> DataFrame:
     """K9: fold 0..k-1, contiguous runs of the seeded hash order with k-fold sizes."""
     def cuts(n: int) -> list[int]:

@@ -33,23 +33,26 @@ from domus import constants as C
 from domus.errors import MonitoringError
 from domus.functions.stats import ks_pvalue
 from domus.operators import drift as D
+from domus.operators.split import default_key, key_columns
 from domus.session import materialize
 
 _CELLS_PER_TASK = 4_000_000
 
 
 def drift_job(df: DataFrame, cols: list[str] | None = None, exclude: tuple[str, ...] = (),
-              month_col: str = "snapshot_month", order_cols: tuple[str, ...] = ("uid",),
+              month_col: str = "snapshot_month", order_cols: tuple[str, ...] | None = None,
               p_threshold: float = C.KS_P_VALUE_THRESHOLD, psi_threshold: float = C.PSI_THRESHOLD,
               dataset_share: float = C.DATASET_DRIFT_SHARE):
     """Returns (per-feature report DataFrame, verdict DataFrame).
 
-    ``cols`` defaults to every column except ``order_cols`` helpers and ``exclude``; like
-    the reference, ids and the month are tested unless excluded.
+    ``cols`` defaults to every column but the row number ``uid`` and ``exclude``: ids and the month are
+    tested unless excluded. ``order_cols`` (the key that halves a single month) defaults to ``uid`` where
+    there is one, else (id, snapshot_month).
     """
-    cols = [c for c in (cols or [c for c in df.columns if c not in order_cols]) if c not in exclude]
+    order_cols = order_cols or tuple(key_columns(default_key(df)))
+    wanted = cols or [c for c in df.columns if c != "uid"]
     sided = D.reference_current(df, month_col, order_cols)
-    D.shared_columns(cols, sided.columns)
+    cols = D.shared_columns([c for c in wanted if c not in exclude], sided.columns)
     report = D.drift_report_table(sided.select("side", *cols), cols, "side", p_threshold, psi_threshold)
     verdict = D.drift_verdict(report, dataset_share)
     return report, verdict
@@ -88,6 +91,7 @@ def _ks_sweep(m_count: int):
         rows = []
         for i in range(1, m_count):
             if n_ref[i] <= 0 or totals[i] <= 0:
+                rows.append((feature, i, None))
                 continue
             d = np.max(np.abs(ref[:, i] / n_ref[i] - cum[:, i] / totals[i]))
             rows.append((feature, i, float(d)))
@@ -115,6 +119,7 @@ def _psi_sweep(m_count: int, eps: float):
         rows = []
         for i in range(1, m_count):
             if n_ref[i] <= 0 or totals[i] <= 0:
+                rows.append((feature, i, None))
                 continue
             r = ref[:, i] / n_ref[i] + eps
             c = mat[:, i] / totals[i] + eps
@@ -206,6 +211,10 @@ def drift_by_month(df: DataFrame, cols: list[str] | None = None, month_col: str
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    # every feature has a row for every month: one without a statistic had no values on a side
+    every = spark.createDataFrame([(c, i, t) for t, cs in (("ks", num), ("psi", cat)) for c in cs for i in range(1, m)],
+                                  "feature string, month_idx int, test string")
+    out = every.join(out, ["feature", "month_idx", "test"], "left")
     drifted = (F.when(F.col("test") == "ks", F.col("p_value") < p_threshold)
                .otherwise(F.col("statistic") > psi_threshold))
     month_name = F.element_at(F.array(*[F.lit(x) for x in months]), F.col("month_idx") + 1)

@@ -30,7 +30,7 @@ from domus.operators import conformal
 from domus.operators.features import ListingImputer, feature_pipeline, impute
 from domus.operators.metrics import evaluate
 from domus.operators.model import build_estimator, fit_simple_linear, predict_simple_linear
-from domus.operators.split import exact_split, kfold_assign
+from domus.operators.split import default_key, exact_split, key_columns, kfold_assign
 from domus.session import materialize
 
 
@@ -98,15 +98,18 @@ def _incumbent(registry, model_name: str, metric: str) -> dict[str, float] | Non
 def train_flow(listings: DataFrame, *, estimator: str = "simple_linear", params: dict | None = None,
                alpha: float = C.CONFORMAL_ALPHA, test_size: float = C.TEST_SIZE,
                calibration_size: float = C.CALIBRATION_SIZE, seed: int = C.SEED,
-               key: str = "uid", contract=None, registry=None, model_name: str = "price",
+               key: str | tuple[str, ...] | None = None, contract=None, registry=None, model_name: str = "price",
                primary_metric: str = "mae", materialize_input: bool = True) -> TrainingRun:
-    """Validate -> split -> fit -> calibrate -> evaluate -> register -> advise."""
+    """Validate -> split -> fit -> calibrate -> evaluate -> register -> advise.
+
+    ``key`` (one column or several) tells rows apart: ``uid`` where there is one, else (id, snapshot_month)."""
     conformal.check_alpha(alpha)
+    key = key or default_key(listings)
     if materialize_input:
         # one computation of the (possibly joined) input, read back by every later job
         listings = materialize(listings)
     if contract is not None:
-        contract.validate(listings, raise_on_error=True, ignore=(key,))
+        contract.validate(listings, raise_on_error=True, ignore=tuple(key_columns(key)))
     split = materialize(exact_split(listings, key, test_size, calibration_size, seed))
     train = split.filter(F.col("part") == "train")
     model = fit(train, estimator, params)
@@ -215,7 +218,7 @@ def propose(rng: random.Random, trees: tuple[int, ...] = TREES, depths: tuple[in
 
 
 def tune(train: DataFrame, n_trials: int = 5, timeout_seconds: float = 1800.0,
-         estimator: str = "gbt", cv_folds: int = 5, seed: int = C.SEED, key: str = "uid",
+         estimator: str = "gbt", cv_folds: int = 5, seed: int = C.SEED, key: str | tuple[str, ...] | None = None,
          trees: tuple[int, ...] = TREES, depths: tuple[int, ...] = DEPTHS) -> tuple[dict[str, Any], DataFrame]:
     """Minimise cross-validated MAE. Returns (best params, per-trial scores frame).
 
@@ -229,6 +232,7 @@ def tune(train: DataFrame, n_trials: int = 5, timeout_seconds: float = 1800.0,
 
     from domus.operators.features import one_hot_stages
 
+    key = key or default_key(train)
     n = train.count()
     if n == 0:
         raise TrainingError("search needs non-empty data")

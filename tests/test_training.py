@@ -155,8 +155,8 @@ def test_tune_is_deterministic(spark):
     from domus.plans.training import tune
 
     train = exact_split(panel(spark, SF)).filter(F.col("part") == "train")
-    best1, t1 = tune(train, n_trials=2, cv_folds=2, max_trees=5)
-    best2, t2 = tune(train, n_trials=2, cv_folds=2, max_trees=5)
+    best1, t1 = tune(train, n_trials=2, cv_folds=2, trees=(3, 5))
+    best2, t2 = tune(train, n_trials=2, cv_folds=2, trees=(3, 5))
     assert best1 == best2 and t1.count() == 2
     assert t1.collect() == t2.collect()
 
@@ -188,3 +188,33 @@ def test_one_hot_unseen_category_is_all_zeros(spark):
     out = {r["city"]: r["city__ohe"].toArray().tolist() for r in model.transform(test).collect()}
     assert out["zzz"] == [0.0, 0.0, 0.0]
     assert out["b"] == [0.0, 1.0, 0.0]
+
+
+def test_flows_run_on_listings_without_uid(spark, tmpdir_path):
+    """From rows keyed by (id, snapshot_month) to registered version and advice, and to a drift verdict."""
+    from domus.operators.registry import Registry
+    from domus.plans.drift_job import drift_job
+    from domus.plans.training import train_flow
+    from domus.sources.panel import panel
+
+    listings = panel(spark, "/root/testdata/sf0.001").drop("uid").dropDuplicates(["id", "snapshot_month"]).cache()
+    reg = Registry(spark, tmpdir_path)
+    first = train_flow(listings, registry=reg)
+    assert first.version["version"] == "1" and first.recommendation["should_promote"]
+    assert sum(first.sizes.values()) == listings.count()
+    reg.transition_stage("price", 1, "production")
+    second = train_flow(listings, registry=reg)
+    assert second.version["version"] == "2" and not second.recommendation["should_promote"]
+    with pytest.raises(Exception, match="not unique"):
+        train_flow(listings.unionByName(listings.limit(5)))
+    month = listings.filter(F.col("snapshot_month") == listings.agg(F.max("snapshot_month")).first()[0])
+    _, verdict = drift_job(month, cols=["square_meters", "city"])
+    assert verdict.first().n_features == 2
+
+
+def test_unknown_parameters_are_refused():
+    from domus.errors import TrainingError
+    from domus.operators.model import build_estimator
+
+    with pytest.raises(TrainingError, match="num_leaves"):
+        build_estimator("gbt", {"num_leaves": 3})
