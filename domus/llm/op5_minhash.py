@@ -7,10 +7,11 @@
 3. The forest: each tree sorts the signatures in an order of its own. A region is a run of signatures with a common prefix:
    three hashes at first, more where a region is crowded (adaptive depth), so no region holds more than about
    ``CROWD`` rows. Inside a region the neighbours in sorted order, which have the longest common prefixes, are
-   candidates if their sketches can still reach the threshold.
+   candidates if their sketches can still reach the threshold. Sets that stand in small regions only are done then.
 4. Candidates are confirmed on the full sets. Links become components, and the forest grows: further rounds take
    new trees and look only at neighbours of different components, so a crowd that is already one component costs
-   nothing and what stands aside in it meets new neighbours. The rounds end when one brings no new link.
+   nothing and what stands aside in it meets new neighbours. The rounds go on with the
+   sets of crowded regions, and end when one brings no new link.
 
 The first round confirms the ``BEST`` most similar neighbours of each signature, which joins most groups with few
 comparisons; later rounds confirm all that are left. Links inside a component need not all be listed.
@@ -215,31 +216,41 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = written(texts.mapInArrow(
         _signatures, "rep long, n long, signature binary, sketch binary, shingles array<long>"), "near-sets")
 
-    links, tested, label, trees = None, None, None, 0
-    for turn in range(1 << 20):
-        late = min(turn, 1)
+    links, tested, label, trees, active = None, None, None, 0, None
+    while True:
+        late = min(trees, 1)
         rows = sets.select("rep", "n", "signature", "sketch")
         if label is None:
             rows = rows.withColumn("component", F.col("rep"))
         else:
-            rows = rows.join(label, rows.rep == label.node, "left").select(
+            rows = rows.join(sized(active), "rep", "left_semi").join(label, F.col("rep") == label.node, "left").select(
                 "rep", "n", "signature", "sketch", F.coalesce("component", "rep").alias("component"))
         forest = rows.mapInArrow(
             _planted(range(trees, trees + ROUND_TREES[late])),
             "rep long, n long, component long, k1 long, k2 long, k3 long, ordering binary, sketch binary")
         trees += ROUND_TREES[late]
-        placed = _regions(forest).repartition("region").sortWithinPartitions("region", "ordering", "rep")
+        rows = _regions(forest)
+        placed = rows.repartition("region").sortWithinPartitions("region", "ordering", "rep")
         pairs = placed.select("region", "rep", "n", "component", "sketch").mapInArrow(
-            _neighbours(NEIGHBOURS[late], BEST if turn == 0 else None, percent), "a long, b long").distinct()
+            _neighbours(NEIGHBOURS[late], None if late else BEST, percent), "a long, b long").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         new = written(confirmed(pairs, sets, percent), "near-confirmed")
         tested = new.select("a", "b") if tested is None else tested.union(new.select("a", "b"))
         fresh = new.filter("linked").select("a", "b")
-        if turn > 0 and fresh.isEmpty():
+        if late and fresh.isEmpty():
             break
         links = fresh if links is None else links.union(fresh)
         label = components(links)
+        # who may still have a partner: sets in a region with more rows than neighbours were looked at, and, after the
+        # first round, those whose further candidates were left for later
+        large = rows.groupBy("region").agg(F.count("*").alias("c")).filter(F.col("c") > NEIGHBOURS[late] + 1)
+        active = rows.select("region", "rep").join(large, "region", "left_semi").select("rep")
+        if not late:
+            active = active.union(new.select("a")).union(new.select("b"))
+        active = written(active.distinct(), "near-active")
+        if active.isEmpty():
+            break
     reps = reps.join(label, reps.rep == label.node, "left").select(
         "one", "two", F.coalesce("component", "rep").alias("component_id"))
     out = prints.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("one")).alias("one"),
