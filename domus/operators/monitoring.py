@@ -29,7 +29,7 @@ def outcome_counts(df: DataFrame, outcome: Column, by: list[str] | None = None)
         labels = F.explode(F.array(*[F.lit(o) for o in C.OUTCOMES])).alias("outcome")
         keys = counts.select(*by).distinct().select(*by, labels)
         return keys.join(counts, [*by, "outcome"], "left").fillna(0, ["n"])
-    return F.broadcast(dim).join(counts, "outcome", "left").fillna(0, ["n"])
+    return dim.join(F.broadcast(counts), "outcome", "left").fillna(0, ["n"])  # a row per outcome at most
 
 
 def histogram(df: DataFrame, value: Column, buckets: tuple[float, ...] = LATENCY_BUCKETS,

@@ -14,7 +14,8 @@ from domus.functions.stats import ks_pvalue_sql
 from domus.operators import drift as D
 from domus.operators.split import half_split
 from domus.plans.catalog import register
-from domus.plans.drift_job import drift_by_month, drift_job
+from domus.operators.monitoring import histogram_long
+from domus.plans.drift_job import drift_by_month, drift_by_month_verdict, drift_job
 from domus.sources.panel import panel, panel_sql
 from domus.sources.snapshots import LISTING_TYPES
 from pyspark.sql import types as T
@@ -310,3 +311,21 @@ def q_drift_by_month(spark: SparkSession, sf: str) -> DataFrame:
     """Every month against all earlier months, KS/PSI for all 29 columns."""
     out = drift_by_month(panel(spark, sf), COLS)
     return _round(out, ["statistic", "p_value"])
+
+
+def _share_histogram_sql() -> str:
+    rows = "\nUNION ALL ".join(
+        f"SELECT '{b}' AS le, CAST(sum(CASE WHEN share <= {b!r} THEN 1 ELSE 0 END) AS BIGINT) AS n FROM v"
+        for b in C.DRIFT_SHARE_BUCKETS)
+    return (f"WITH pf AS ({_by_month_sql()}),\n"
+            "v AS (SELECT snapshot_month, avg(CASE WHEN drifted THEN 1.0 ELSE 0.0 END) AS share FROM pf GROUP BY 1),\n"
+            f"h AS ({rows}\nUNION ALL SELECT '+Inf' AS le, count(*) AS n FROM v)\n"
+            "SELECT le, n, (SELECT count(*) FROM v) AS count, (SELECT round(sum(share), 6) FROM v) AS sum FROM h")
+
+
+@register("drift_share_histogram", _share_histogram_sql())
+def q_drift_share_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    """D8 over L8: histogram of the share of drifted columns of each month."""
+    months = drift_by_month_verdict(drift_by_month(panel(spark, sf), COLS))
+    h = histogram_long(months, F.col("share_drifted"), C.DRIFT_SHARE_BUCKETS)
+    return h.select("le", F.col("n").cast("long"), F.col("count").cast("long"), F.round("sum", 6).alias("sum"))
