@@ -32,14 +32,16 @@ from pyspark.sql import types as T
 
 from domus.llm.common import table
 
-SAMPLE = 4000
-SAMPLE_BYTES = 1 << 16
+SAMPLE = 3000
+SAMPLE_BYTES = 1 << 15
 WINDOW = 8
 LEVEL = 13
 MIN_MATCH = 6
 ORDINARY_BYTES = 400_000
 TOXIC_WORDS = 1500
 MIN_CHI = 6.0
+#: Toxic documents that a beginning has to occur in.
+MIN_DOCS = 3
 MIN_LOG_ODDS = 1.2
 EDGE = ".,!?;:|\"'()&%*-"
 THRESHOLDS = (1, 2, 3, 4)
@@ -108,38 +110,47 @@ class Dictionaries:
                 *((d >= t).sum() / scale for t in THRESHOLDS)]
 
 
+def _vocabulary(text: str) -> set[str]:
+    return {w.strip(EDGE) for w in text.lower().split()}
+
+
 def _beginnings(word: str) -> list[str]:
     return [word[:n] for n in range(3, min(len(word), 12) + 1) if len(word[:n].encode()) >= 4]
 
 
 def train_dictionaries(rows: list[tuple[str, int]]) -> Dictionaries:
     """From (text, toxic) rows."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    docs = [0, 0]
-    vocabulary = []
+    docs = Counter(toxic for _, toxic in rows)
+    bad: Counter = Counter()
     for text, toxic in rows:
-        own = {w.strip(EDGE) for w in text.lower().split()}
-        vocabulary.append((own, toxic))
-        seen[toxic].update({b for w in own for b in _beginnings(w)})
-        docs[toxic] += 1
-    ordinary = b"".join(x for text, toxic in rows if not toxic for x in windows(text))[-ORDINARY_BYTES:]
+        if toxic:
+            bad.update({b for w in _vocabulary(text) for b in _beginnings(w)})
+    bad = Counter({unit: n for unit, n in bad.items() if n >= MIN_DOCS})
+    good: Counter = Counter()
+    ordinary, kept = [], 0
+    for text, toxic in reversed(rows):
+        if not toxic:  # only what toxic text says too is counted: memory follows the toxic rows
+            good.update({b for w in _vocabulary(text) for b in _beginnings(w) if b in bad})
+            if kept < ORDINARY_BYTES:
+                ordinary.append(b"".join(windows(text)))
+                kept += len(ordinary[-1])
     chi = {}
-    for unit, a in seen[1].items():
-        b = seen[0][unit]
+    for unit, a in bad.items():
+        b = good[unit]
         rate = (a + b) / (docs[0] + docs[1])
         score = (a - rate * docs[1]) / math.sqrt(rate * docs[1] * (1 - rate) + 0.1)
         odds = math.log((a + 0.5) / (docs[1] + 1)) - math.log((b + 0.5) / (docs[0] + 1))
         if score >= MIN_CHI and odds >= MIN_LOG_ODDS:
             chi[unit] = score
     weight: Counter = Counter()
-    for own, toxic in vocabulary:
+    for text, toxic in rows:
         if toxic:
-            for w in own:
+            for w in _vocabulary(text):
                 best = max((chi.get(b, 0.0) for b in _beginnings(w)), default=0.0)
                 if best:
                     weight[w] += best
     chosen = sorted(weight, key=lambda w: (weight[w], w))[-TOXIC_WORDS:]  # the strongest come last: near offsets
-    return Dictionaries(ordinary, (" " + " ".join(chosen) + " ").encode() if chosen else b"")
+    return Dictionaries(b"".join(reversed(ordinary))[-ORDINARY_BYTES:], (" " + " ".join(chosen) + " ").encode() if chosen else b"")
 
 
 @dataclass
