@@ -43,6 +43,7 @@ def captures_to_write(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> D
     p = p.withColumn("n", F.octet_length("html")).withColumn("sha", F.sha1(F.encode("html", "utf-8")))
     same = (p.filter(F.col("n") >= min_bytes).groupBy(F.col("sha").alias("same_sha"))
             .agg(F.max("page_id").alias("first_id"), F.count("*").alias("copies")).filter("copies > 1"))
+    same = written(same, "warc-same")  # so that the join can split a payload that very many pages share
     p = p.join(same, (p.sha == same.same_sha) & (p.n >= min_bytes), "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return p.select("page_id", "url", "html", "n", "sha",

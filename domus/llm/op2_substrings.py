@@ -132,8 +132,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     prints = written(d.mapInArrow(_fingerprints, "doc_id long, n_words long, sha string"), "sub-prints")
-    first = prints.groupBy(F.col("sha").alias("same")).agg(F.min("doc_id").alias("first_id"))
-    base = written(prints.select("doc_id", "n_words", "sha").join(first, F.col("sha") == F.col("same")).select(
+    # written, so that the join deals both sides anew and a very common text can be split over tasks
+    first = written(prints.groupBy(F.col("sha").alias("same")).agg(F.min("doc_id").alias("first_id"), F.count("*").alias(
+        "times")).filter("times > 1").select("same", "first_id"), "sub-first")
+    base = written(prints.select("doc_id", "n_words", "sha").join(first, F.col("sha") == F.col("same"), "left").select(
         "doc_id", "n_words", "sha", F.coalesce(F.col("first_id") < F.col("doc_id"), F.lit(False)).alias("copy")),
         "sub-base")
     # computed twice rather than kept: the anchors of all documents are as large as a third of the texts

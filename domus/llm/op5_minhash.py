@@ -210,7 +210,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rep_gates = known.join(reps.select(F.col("rep").alias("doc_id"), "one", "two"), ["doc_id", "one", "two"], "left_semi")
     gates = rep_gates.select(F.col("doc_id").alias("rep"), F.explode("gates").alias("gate")).distinct()
     met = gates.groupBy("gate").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low != high")
-    ids = written(gates.join(met.select("gate"), "gate", "left_semi").select("rep").distinct(), "near-ids")
+    met = written(met.select("gate"), "near-gates")  # so that the join can split a gate that very many sets share
+    ids = written(gates.join(met, "gate", "left_semi").select("rep").distinct(), "near-ids")
     near = sized(ids)
     texts = d.join(near, d.doc_id == near.rep, "left_semi").dropDuplicates(["doc_id"])
     sets = written(texts.mapInArrow(
