@@ -47,7 +47,7 @@ def reference_current(df: DataFrame, month_col: str = "snapshot_month",
     row = df.agg(F.count_distinct(month_col).alias("m"), F.max(month_col).alias("latest"),
                  F.count(F.lit(1)).alias("n")).collect()[0]
     if row["n"] < 2:
-        raise MonitoringError(f"drift needs at least 2 rows, got {row['n']}")
+        raise MonitoringError(f"{row['n']} rows can't be split into two sides")
     if row["m"] > 1:
         return df.withColumn(side_col, F.when(F.col(month_col) == row["latest"], F.lit(CUR))
                              .otherwise(F.lit(REF)))
@@ -58,7 +58,7 @@ def shared_columns(reference_cols: list[str], current_cols: list[str]) -> list[s
     """Columns present on both sides, in reference order; none -> error."""
     shared = [c for c in reference_cols if c in current_cols]
     if not shared:
-        raise MonitoringError("drift detection needs frames with shared columns")
+        raise MonitoringError("the two sides have no column in common")
     return shared
 
 

@@ -68,7 +68,7 @@ def impute_columns(medians: dict[str, float]) -> list[Column]:
 def impute(df: DataFrame, medians: dict[str, float] | None, keep: tuple[str, ...] = ()) -> DataFrame:
     """K3 transform; ``keep`` passes extra columns (keys, target) through after the features."""
     if not medians:
-        raise FeatureError("transform called before fit")
+        raise FeatureError("the transformer is not fitted yet")
     return df.select(*impute_columns(medians), *keep)
 
 
@@ -98,7 +98,7 @@ class ListingImputer(Estimator, _ImputerParams, DefaultParamsReadable, DefaultPa
     def _fit(self, dataset: DataFrame) -> "ListingImputerModel":
         target = self.getOrDefault(self.targetCol)
         if target not in dataset.columns:
-            raise FeatureError(f"fit requires target column {target!r}")
+            raise FeatureError(f"there is no column {target!r} to fit on")
         medians = column_medians(dataset, method=self.getOrDefault(self.medianMethod))
         model = ListingImputerModel(medians=json.dumps(medians),
                                     keepCols=self.getOrDefault(self.keepCols))
@@ -122,7 +122,7 @@ class ListingImputerModel(Model, DefaultParamsReadable, DefaultParamsWritable):
 
     def median_map(self) -> dict[str, float]:
         if not self.isDefined(self.medians):
-            raise FeatureError("transform called before fit")
+            raise FeatureError("the transformer is not fitted yet")
         return json.loads(self.getOrDefault(self.medians))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def build_estimator(name: str, params: dict[str, Any] | None = None,
     """Unfitted Spark ML regressor by name; unknown name -> ``TrainingError`` listing known ones."""
     params = dict(params or {})
     if name not in KNOWN_ESTIMATORS:
-        raise TrainingError(f"unknown estimator {name!r}; known: {', '.join(sorted(KNOWN_ESTIMATORS))}")
+        raise TrainingError(f"no estimator is called {name!r}, only {', '.join(sorted(KNOWN_ESTIMATORS))}")
     group = "boosted" if name in _GBT_NAMES else name
     unknown = sorted(set(params) - _PARAMETERS[group])
     if unknown:
@@ -76,16 +76,6 @@ def build_estimator(name: str, params: dict[str, Any] | None = None,
     return LinearRegression(regParam=reg, elasticNetParam=float(params.get("l1_ratio", 0.0)), **kw)
 
 
-def check_trainable(df: DataFrame, label_col: str) -> int:
-    """Empty or label-less input -> ``TrainingError``; returns the row count."""
-    if label_col not in df.columns:
-        raise TrainingError(f"training frame has no label column {label_col!r}")
-    n = df.count()
-    if n == 0:
-        raise TrainingError("train needs non-empty data")
-    return n
-
-
 # ---------------------------------------------------------------------------
 # Closed-form simple regression y = intercept + slope * x (exact, SQL-checkable).
 # ---------------------------------------------------------------------------

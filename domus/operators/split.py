@@ -24,7 +24,7 @@ def split_sizes(n: int, test_size: float, calibration_size: float) -> tuple[int,
     n_cal = round(n * calibration_size)
     n_train = n - n_test - n_cal
     if min(n_train, n_cal, n_test) <= 0:
-        raise TrainingError(f"cannot split {n} rows into train/cal/test with given sizes")
+        raise TrainingError(f"{n} rows leave a part of the split empty")
     return n_train, n_cal, n_test
 
 
@@ -87,7 +87,7 @@ def kfold_sizes(n: int, k: int) -> list[int]:
     """Shuffled k-fold sizes: k = min(k, n); the first n % k folds get one extra row."""
     k = min(k, n)
     if k < 2:
-        raise TrainingError(f"k-fold needs at least 2 rows, got {n}")
+        raise TrainingError(f"folds need two rows or more; there are {n}")
     return [n // k + (1 if i < n % k else 0) for i in range(k)]
 
 

@@ -19,7 +19,7 @@ _NAME = re.compile(C.TABLE_NAME_REGEX)
 
 def safe_name(name: str) -> str:
     if not isinstance(name, str) or not _NAME.fullmatch(name) or "\n" in name:
-        raise StorageError(f"invalid table name: {name!r}")
+        raise StorageError(f"{name!r} can't name a table")
     return name
 
 
@@ -40,7 +40,7 @@ class TableStore:
         try:
             return self.spark.read.parquet(path)
         except AnalysisException as exc:
-            raise StorageError(f"could not read table {name!r}: {exc}") from exc
+            raise StorageError(f"table {name!r} can't be read: {exc}") from exc
 
 
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:

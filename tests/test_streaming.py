@@ -41,9 +41,9 @@ def test_stream_equals_batch_and_rejects_malformed_lines(spark, tmpdir_path):
 
 
 def test_a_batch_that_runs_again_replaces_its_rows(spark, tmpdir_path):
-    from domus.streaming.scoring import request_schema
+    from domus.streaming.scoring import stream_schema
 
-    batch = spark.createDataFrame([], request_schema()).unionByName(
+    batch = spark.createDataFrame([], stream_schema()).unionByName(
         spark.createDataFrame([("1", "warszawa", 40.0)], "request_id string, city string, square_meters double"),
         allowMissingColumns=True)
     assert CORRUPT in batch.columns
