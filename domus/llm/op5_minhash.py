@@ -11,7 +11,10 @@
 4. Candidates are confirmed on the full sets. Links become components, and the forest grows: further rounds take
    new trees and look only at neighbours of different components, so a crowd that is already one component costs
    nothing and what stands aside in it meets new neighbours. The rounds go on with the
-   sets of crowded regions, and end when one brings no new link.
+   other sets, and end when one brings no new link.
+5. An exact pass over the sets that weren't done after the first round, as neighbours and chunks leave some pairs of a
+   crowd unmet: a join on the first shingles of each set, rarest first, as many as any partner has to share one of.
+   Only pairs of different components are joined, and confirmed on the full sets.
 
 The first round confirms the ``BEST`` most similar neighbours of each signature, which joins most groups with few
 comparisons; later rounds confirm all that are left. Links inside a component need not all be listed.
@@ -44,6 +47,9 @@ BEST = 2
 CROWD = 2048
 #: Share of equal sketch bytes that a pair at the threshold reaches but for odds of 1 in 1000.
 SKETCH_SLACK = 0.08
+#: Shingles (about) that are counted to tell rare from common ones; their order decides the work of the exact pass, not
+#: what it finds.
+COUNTED = 1 << 22
 
 _MULTIPLIERS = (np.random.Generator(np.random.PCG64(20240501)).integers(1, 1 << 62, HASHES, dtype=np.uint64)
                 * np.uint64(2) + np.uint64(1))
@@ -199,6 +205,60 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
         "a", "b", (100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)).alias("linked"))
 
 
+def _firsts(common: np.ndarray, counts: np.ndarray, percent: int):
+    """The first shingles of each set in the order from rare to common. A partner of the set's size or more has one of
+    those marked ``few``; a smaller one has one of its own ``few`` among all that are given."""
+    def run(batches):
+        for batch in batches:
+            out = ([], [], [])
+            for values in batch.column(3):
+                s = values.values.to_numpy()
+                at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+                times = np.where(common[at] == s, counts[at], 0) if len(common) else np.zeros(len(s), np.int64)
+                n = len(s)
+                first = s[np.lexsort((s, times))[:n - -(-percent * n // 100) + 1]]
+                out[0].append(first)
+                out[1].append(np.arange(len(first)))
+                out[2].append(np.arange(len(first)) <= n - -(-2 * percent * n // (100 + percent)))
+            if not out[0]:
+                continue
+            row = pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in out[0]]))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k).take(row) for k in range(3)), *(pa.array(np.concatenate(x)) for x in out)],
+                names=["rep", "n", "component", "shingle", "place", "few"])
+    return run
+
+
+def _unmet(sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """All pairs of sets of different components that can reach the threshold."""
+    rows = sets.join(label, sets.rep == label.node, "left").select(
+        "rep", "n", F.coalesce("component", "rep").alias("component"), "shingles")
+    total = sets.agg(F.sum("n")).first()[0]
+    part = sets.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < max(1, (COUNTED << 20) // total))
+    often = part.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("c")).filter("c > 2")
+    often = often.toArrow()
+    common, counts = (often.column(k).to_numpy() for k in range(2))
+    order = np.argsort(common)
+    firsts = written(rows.mapInArrow(
+        _firsts(common[order], counts[order], percent),
+        "rep long, n long, component long, shingle long, place long, few boolean"), "near-firsts")
+    # shingles that two components share; sets of the component that has most of one needn't meet each other
+    held = firsts.groupBy("shingle", "component").agg(F.count("*").alias("c"), F.max("few").alias("few"))
+    shared = held.groupBy("shingle").agg(F.max_by("component", F.struct("c", "component")).alias("main"),
+                                         F.count("*").alias("parts"), F.max("few").alias("any"))
+    shared = written(shared.filter("parts > 1 and any").select(F.col("shingle").alias("at"), "main"), "near-shared")
+    met = written(firsts.join(shared, firsts.shingle == shared.at).drop("at"), "near-met")
+    a = met.filter("component != main").select(*(F.col(c).alias(f"{c}_a") for c in firsts.columns))
+    b = met.select(*(F.col(c).alias(f"{c}_b") for c in firsts.columns))
+    both = a.join(b, (a.shingle_a == b.shingle_b) & (a.component_a != b.component_b))
+    # from the first shared shingle on, both have enough shingles left
+    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    both = both.filter((F.col("few_a") | F.col("few_b"))
+                       & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+                       & ((100 + percent) * left >= percent * (F.col("n_a") + F.col("n_b"))))
+    return both.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
@@ -217,7 +277,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = written(texts.mapInArrow(
         _signatures, "rep long, n long, signature binary, sketch binary, shingles array<long>"), "near-sets")
 
-    links, tested, label, trees, active = None, None, None, 0, None
+    links, tested, label, trees, active, doubtful = None, None, None, 0, None, None
     while True:
         late = min(trees, 1)
         rows = sets.select("rep", "n", "signature", "sketch")
@@ -250,8 +310,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         if not late:
             active = active.union(new.select("a")).union(new.select("b"))
         active = written(active.distinct(), "near-active")
+        doubtful = active if doubtful is None else doubtful
         if active.isEmpty():
             break
+    if not doubtful.isEmpty():
+        pairs = _unmet(sets.join(sized(doubtful), "rep", "left_semi"), label, percent).join(tested, ["a", "b"], "left_anti")
+        new = written(confirmed(pairs, sets, percent), "near-confirmed")
+        label = components(links.union(new.filter("linked").select("a", "b")))
     reps = reps.join(label, reps.rep == label.node, "left").select(
         "one", "two", F.coalesce("component", "rep").alias("component_id"))
     out = prints.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("one")).alias("one"),

@@ -85,6 +85,30 @@ def test_crowded_regions_go_deeper(documents, document_list, monkeypatch):
     assert Counter(map(tuple, got)) == brute_components([(d, t) for d, t, _ in document_list])
 
 
+def crowd_rows(n=420, pairs=60):
+    """Filled-in templates, 0.80 to 0.84 alike, and some that are 0.85 or more like an earlier one."""
+    r, rows = np.random.default_rng(5), []
+    base = [f"w{k}" for k in range(404)]
+    for d in range(n):
+        own = base[:]
+        own[-(36 + d % 4):] = [f"d{d}x{k}" for k in range(36 + d % 4)]
+        rows.append((d, own))
+    for d in range(pairs):
+        own = rows[7 * d][1][:]
+        own[:26] = [f"p{d}x{k}" for k in range(26)]
+        rows.append((n + d, own))
+    return [(int(k), " ".join(rows[k][1])) for k in r.permutation(len(rows))]
+
+
+def test_pairs_in_a_crowd_below_the_threshold(spark, monkeypatch):
+    rows = crowd_rows()
+    want = brute_components(rows)
+    assert sum(not kept for _, _, _, kept in want) == 60
+    monkeypatch.setattr(op5_minhash, "CROWD", 32)
+    got = op5_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, got)) == want
+
+
 def test_one_document_of_a_group_stays(documents, document_list):
     kept = op5_minhash.without_duplicates(documents)
     assert kept.columns == documents.columns
