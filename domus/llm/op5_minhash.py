@@ -7,7 +7,8 @@
 3. The forest: each tree sorts the signatures in an order of its own. A region is a run of signatures with a common prefix:
    three hashes at first, more where a region is crowded (adaptive depth), so no region holds more than about
    ``CROWD`` rows. Inside a region the neighbours in sorted order, which have the longest common prefixes, are
-   candidates if their sketches can still reach the threshold. Sets that stand in small regions only are done then.
+   candidates if their sketches can still reach the threshold. Sets that have met all that share three hashes with them
+   in every tree, and found no candidate, are done then.
 4. Candidates are confirmed on the full sets. Links become components, and the forest grows: further rounds take
    new trees and look only at neighbours of different components, so a crowd that is already one component costs
    nothing and what stands aside in it meets new neighbours. The rounds go on with the
@@ -45,8 +46,8 @@ ROUND_TREES = (12, 24)
 NEIGHBOURS = (8, 24)
 BEST = 2
 CROWD = 2048
-#: Share of equal sketch bytes that a pair at the threshold reaches but for odds of 1 in 1000.
-SKETCH_SLACK = 0.08
+#: Share of equal sketch bytes that a pair at the threshold reaches but for odds of about 1 in 10 million.
+SKETCH_SLACK = 0.15
 #: Shingles (about) that are counted to tell rare from common ones; their order decides the work of the exact pass, not
 #: what it finds.
 COUNTED = 1 << 22
@@ -193,7 +194,7 @@ def _regions(rows: DataFrame) -> DataFrame:
     chunk = F.pmod(F.xxhash64("rep"), F.ceil(F.coalesce("k2_n", F.lit(1)) / CROWD))
     region = (F.when(F.col("k1_at").isNull(), F.col("k1")).when(F.col("k2_at").isNull(), F.col("k2"))
               .otherwise(F.xxhash64("k3", chunk)))
-    return rows.select(region.alias("region"), "rep", "n", "component", "sketch", "ordering")
+    return rows.select(region.alias("region"), "rep", "n", "component", "sketch", "ordering", "k1")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -303,10 +304,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             break
         links = fresh if links is None else links.union(fresh)
         label = components(links)
-        # who may still have a partner: sets in a region with more rows than neighbours were looked at, and, after the
-        # first round, those whose further candidates were left for later
-        large = rows.groupBy("region").agg(F.count("*").alias("c")).filter(F.col("c") > NEIGHBOURS[late] + 1)
-        active = rows.select("region", "rep").join(large, "region", "left_semi").select("rep")
+        # who may still have a partner: sets that share three hashes with more rows than neighbours were looked at, and,
+        # after the first round, those whose further candidates were left for later
+        large = rows.groupBy("k1").agg(F.count("*").alias("c")).filter(F.col("c") > NEIGHBOURS[late] + 1)
+        active = rows.select("k1", "rep").join(large, "k1", "left_semi").select("rep")
         if not late:
             active = active.union(new.select("a")).union(new.select("b"))
         active = written(active.distinct(), "near-active")

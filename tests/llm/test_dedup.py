@@ -109,6 +109,14 @@ def test_pairs_in_a_crowd_below_the_threshold(spark, monkeypatch):
     assert Counter(map(tuple, got)) == want
 
 
+def test_pairs_that_no_tree_brings_together(spark, monkeypatch):
+    """The exact pass alone: sets that stayed doubtful meet whatever their hashes and sketches say."""
+    rows = crowd_rows(60, 8)
+    monkeypatch.setattr(op5_minhash, "_neighbours", lambda *_: lambda batches: (b.select([]) for b in batches if False))
+    got = op5_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, got)) == brute_components(rows)
+
+
 def test_one_document_of_a_group_stays(documents, document_list):
     kept = op5_minhash.without_duplicates(documents)
     assert kept.columns == documents.columns
