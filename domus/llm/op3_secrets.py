@@ -1,8 +1,9 @@
 r"""Secret scans: fixed patterns, and dictionary-primed zstandard novelty.
 
 ``base_spans`` finds three fixed kinds by pattern. The method adds the kind ``novel``: strings of secret-like
-shape that stand in a sensitive context (a name such as ``auth`` or ``private_key`` shortly before them) and that
-a compressor can't explain. How much it can't is the marginal size of the string: bytes that zstandard needs
+shape that stand in a sensitive context (a name such as ``auth`` or ``private_key`` right before them, also joined to
+them by ``=``; shorter strings only where the name is assigned to; bodies of private keys in PEM form) and that a
+compressor can't explain. How much it can't is the marginal size of the string: bytes that zstandard needs
 for context plus string, less those for the context alone, with a dictionary of common identifiers, key names and
 words as primer. Ordinary identifiers, paths, repeated strings and prose cost little; random strings cost nearly
 their entropy. The threshold is in bits for each character.
@@ -34,11 +35,21 @@ MIN_ASSIGN, MIN_ACCESS = 8, 16
 KINDS = ("assign", "access", "hex", "novel")
 
 #: Names that make the string behind them sensitive.
-SENSITIVE = re.compile(r"(?:passphrase|pwd|credential|auth|bearer|private|access|client|signing|license|session|"
-                       r"encryption|account|connection|webhook|cookie)[ _-]?(?:key|id|token|secret|string|code)?"
-                       r"[\"']?\x20{0,3}(?:[:=]|\x20is\x20|\x20)\x20{0,3}[\"']?$", re.I | re.A)
+_NAME = (r"(?:passphrase|pwd|credential|auth|bearer|private|access|client|signing|license|session|encryption|account|"
+         r"connection|webhook|cookie|password|passwd|secret|token|api|master|shared)"
+         r"(?:[ _-]?(?:key|id|token|secret|string|code|pass|password)){0,3}[\"']?")
+ASSIGNED = re.compile(_NAME + r"\x20{0,3}(?::=|=>|[:=]|\x20is\x20)\x20{0,3}[\"']?$", re.I | re.A)
+SENSITIVE = re.compile(_NAME + r"\x20{0,3}(?::=|=>|[:=]|\x20is\x20|\x20)\x20{0,3}[\"']?$", re.I | re.A)
 #: Runs of secret-like characters; each hex run of 32 or more lies in one.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+#: Values with a digit: a ``=`` ends the name before them, and belongs to them only as padding.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{8,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
+#: Least length where the name is followed by a blank only.
+LONG = 20
+PEM = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----")
+#: What is taken for the body of a key without its end line.
+PEM_LINES = re.compile(r"(?:(?:\s|\\[nr]){0,8}[A-Za-z0-9+/]{40,}={0,2})+(?:(?:\s|\\[nr]){1,8}[A-Za-z0-9+/]+={1,2})?", re.A)
+PEM_BLANKS = " \t\r\n"
 REACH = 64
 CONTEXT = 256
 MIN_BITS = 4.0
@@ -63,7 +74,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= MIN_ASSIGN]
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
-    for run in CANDIDATE.finditer(text):
+    for run in RUN.finditer(text):
         out += [(m.start(), 2, m.end()) for m in HEX.finditer(text, run.start(), run.end())]
     return sorted(out)
 
@@ -82,23 +93,40 @@ class Novelty:
         return 8.0 * more / len(candidate)
 
 
+def key_bodies(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of what stands between the first and last line of each private key in PEM form."""
+    for m in PEM.finditer(text) if "PRIVATE KEY" in text else ():
+        start = m.end()
+        end = text.find("-----", start)
+        if end < 0 or not text.startswith("-----END", end):
+            lines = PEM_LINES.match(text, start)
+            end = lines.end() if lines else start
+        start += len(text[start:end]) - len(text[start:end].lstrip(PEM_BLANKS))
+        end = start + len(text[start:end].rstrip(PEM_BLANKS))
+        if end > start:
+            yield start, end
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, int]], novelty: Novelty,
                 min_bits: float = MIN_BITS) -> list[tuple[int, int, int]]:
-    """(start, kind index, end) of incompressible strings in a sensitive context, clear of ``taken`` spans."""
-    out = []
+    """(start, kind index, end) of incompressible strings in a sensitive context, clear of ``taken`` spans
+    (a private key's body may hold some)."""
+    out = [(start, 3, end) for start, end in key_bodies(text)
+           if novelty.bits(text[max(0, start - CONTEXT):start] + text[end:end + CONTEXT], text[start:end]) >= min_bits]
+    taken = [*taken, *out]
     for c in CANDIDATE.finditer(text):
         start, end = c.span()
         found = c.group()
-        if not (any(x.isdigit() for x in found) and any(x.isalpha() for x in found)):
+        if not any(x.isalpha() for x in found):
             continue
-        if any(s < end and start < e for s, _, e in taken):
+        if not (SENSITIVE if end - start >= LONG else ASSIGNED).search(text[max(0, start - REACH):start]):
             continue
-        if not SENSITIVE.search(text[max(0, start - REACH):start]):
+        if any(s < end and start < e for s, _, e in taken):
             continue
         around = text[max(0, start - CONTEXT):start] + text[end:end + CONTEXT]
         if novelty.bits(around, found) >= min_bits:
             out.append((start, 3, end))
-    return out
+    return sorted(out)
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
