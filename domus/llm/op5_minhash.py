@@ -48,6 +48,8 @@ BEST = 2
 CROWD = 2048
 #: Share of equal sketch bytes that a pair at the threshold reaches but for odds of about 1 in 10 million.
 SKETCH_SLACK = 0.15
+#: In later rounds, whose sets all go through the exact pass.
+LATE_SLACK = 0.08
 #: Shingles (about) that are counted to tell rare from common ones; their order decides the work of the exact pass, not
 #: what it finds.
 COUNTED = 1 << 22
@@ -139,7 +141,7 @@ def _planted(trees: range):
     return run
 
 
-def _neighbours(reach: int, best: int | None, percent: int):
+def _neighbours(reach: int, best: int | None, percent: int, slack: float):
     """Candidates among the rows next to each other in a region; rows come sorted by region and signature."""
     share = percent / 100
 
@@ -151,7 +153,7 @@ def _neighbours(reach: int, best: int | None, percent: int):
             for lo in range(0, len(i), 1 << 14):
                 part = i[lo:lo + (1 << 14)]
                 alike = (sketch[part] == sketch[part + w]).mean(1)
-                ok = alike >= share - SKETCH_SLACK
+                ok = alike >= share - slack
                 found.append(np.c_[part[ok], part[ok] + w, alike[ok] * 1000])
         if not found:
             return None
@@ -294,7 +296,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         rows = _regions(forest)
         placed = rows.repartition("region").sortWithinPartitions("region", "ordering", "rep")
         pairs = placed.select("region", "rep", "n", "component", "sketch").mapInArrow(
-            _neighbours(NEIGHBOURS[late], None if late else BEST, percent), "a long, b long").distinct()
+            _neighbours(NEIGHBOURS[late], None if late else BEST, percent, LATE_SLACK if late else SKETCH_SLACK), "a long, b long").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         new = written(confirmed(pairs, sets, percent), "near-confirmed")
