@@ -198,6 +198,15 @@ def test_main_text(spark):
     assert op6_html.main_text(df.limit(0)).collect() == []
 
 
+def kept_text(page):
+    return " ".join(words for _, words, _, drop in op6_html.page_blocks(page) if not drop)
+
+
+def test_text_behind_a_self_closed_svg():
+    assert kept_text('<p>one <svg class="icon"/> two</p><p>three <svg><text>no</text></svg> four</p>') == "one two three four"
+    assert kept_text("<p>a</p><svg viewBox='0 0 1 1' /><p>b</p>") == "a b"
+
+
 def test_style_tree_drops_what_a_host_repeats(spark):
     r = random.Random(1)
     rows = [(k, "https://host.example/p", f"<div id=top><p>Welcome to our pages</p></div><div id=body><p>text {r.random()}</p>"
