@@ -207,6 +207,18 @@ def test_text_behind_a_self_closed_svg():
     assert kept_text("<p>a</p><svg viewBox='0 0 1 1' /><p>b</p>") == "a b"
 
 
+def test_names_never_drop_the_main_text():
+    text = "<p>the text</p>"
+    for whole in ('<body class="page no-sidebar">{}</body>', '<body class="right-sidebar">{}</body>', '<body class=search>{}</body>',
+                  '<main class="with-sidebar">{}</main>', '<article class="post has-comments">{}</article>',
+                  '<div id="search-results">{}</div>', '<div id="search"><main>{}</main></div>',
+                  '<div class="widget"><article>{}</article></div>'):
+        assert kept_text(whole.format(text)) == "the text"
+        rest = "<div class='cookie-notice'>a</div><div class='ad'>b</div><section id=comments><article>c</article></section>"
+        assert kept_text(whole.format(text + rest)) == "the text"
+    assert kept_text("<div class='related'><article>no</article></div><article>yes<div class=comments>no</div></article>") == "yes"
+
+
 def test_style_tree_drops_what_a_host_repeats(spark):
     r = random.Random(1)
     rows = [(k, "https://host.example/p", f"<div id=top><p>Welcome to our pages</p></div><div id=body><p>text {r.random()}</p>"
