@@ -230,6 +230,22 @@ def test_style_tree_drops_what_a_host_repeats(spark):
     assert tree["div.top/p"] == pytest.approx(0) and tree["div.body/p"] == pytest.approx(1)
 
 
+def test_copies_of_a_page_count_once(spark):
+    """An article served again and again with another date and link isn't taken for what the host repeats."""
+    def html(article, k):
+        return (f"<div id=top><p>Home</p></div><div id=body><p>{article}</p><h2>{article[:40]}</h2><h3>{article[:30]}</h3></div>"
+                f"<div id=date><a href='/?s={k}'>{k} May</a></div>")
+
+    r = random.Random(2)
+    articles = ["".join(r.choices("abcdefghij ", k=200)).strip() for _ in range(12)]
+    rows = [(k, "http://host.example", html(articles[0], k)) for k in range(400)]
+    rows += [(1000 + k, "http://host.example", html(a, k)) for k, a in enumerate(articles)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {x.page_id: x.text for x in op6_html.main_text(df).collect()}
+    for k in (0, 399, 1000, 1011):
+        assert " ".join(articles[k - 1000 if k >= 1000 else 0].split()) in got[k] and "Home" not in got[k]
+
+
 # 7: chats
 def test_chats_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "<|end|>\n<|turn|>user<|text|>", "\\", "\\\\<|", "<\\|", None, "", "<<|next|>", "é\n\n"]
