@@ -8,8 +8,9 @@ everything else costs the same under both. The differences of a document's windo
 (how many windows pass each threshold, and by how much), and a logistic fit turns them into a score. To calibrate the
 fit, each half of the training rows is measured with dictionaries trained on the other half.
 
-The model is fitted on a bounded sample (``SAMPLE`` rows of each class, chosen by hash, of at most ``SAMPLE_BYTES``
-each) of the labelled rows outside the held-out fold; every document is scored, whole.
+The model is fitted on a bounded sample (``SAMPLE`` rows of each class, chosen by hash among all lengths, and of those as
+many as fit into ``SAMPLE_BYTES``) of the labelled rows outside the held-out fold; the share of toxic rows is that of all
+of them, and every document is scored, whole.
 
 Cases: null and empty texts are scored as texts without windows; a doc_id that is labelled twice counts as toxic if one
 label says so; without labelled rows of both classes every score is the share of toxic rows; repeated rows are
@@ -33,7 +34,8 @@ from pyspark.sql import types as T
 from domus.llm.common import table
 
 SAMPLE = 3000
-SAMPLE_BYTES = 1 << 15
+#: Bytes of the sample of one class; a picked text that would go beyond is left out.
+SAMPLE_BYTES = 24 << 20
 WINDOW = 8
 LEVEL = 13
 MIN_MATCH = 6
@@ -205,14 +207,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, n: int = SAMPLE) -> tupl
     truth = labels.filter("toxic is not null").groupBy(F.col("doc_id").cast("long").alias("id")).agg(
         F.max("toxic").cast("int").alias("toxic"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(
-        F.col("text").isNotNull() & ~held_out(F.col("doc_id")) & (F.octet_length("text") <= SAMPLE_BYTES))
+        F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     key = F.xxhash64("doc_id")
-    ids = d.select("doc_id").join(truth, d.doc_id == truth.id).select("doc_id", "toxic").distinct()
+    ids = d.select("doc_id", F.octet_length("text").alias("bytes")).join(truth, d.doc_id == truth.id)
+    ids = ids.groupBy("doc_id", "toxic").agg(F.max("bytes").alias("bytes"))
     n_all, n_toxic = ids.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    picked = None
+    picked = []
     for toxic in (0, 1):  # ids first: texts of the picked rows only are moved
-        part = ids.filter(F.col("toxic") == toxic).orderBy(key, "doc_id").limit(n)
-        picked = part if picked is None else picked.union(part)
+        room = SAMPLE_BYTES
+        for r in ids.filter(F.col("toxic") == toxic).orderBy(key, "doc_id").limit(n).collect():
+            if r["bytes"] <= room:
+                room -= r["bytes"]
+                picked.append((r["doc_id"], toxic))
+    picked = docs.sparkSession.createDataFrame(picked, "doc_id long, toxic int")
     chosen = d.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])  # 2 * n ids at most
     rows = chosen.select(key.alias("k"), "doc_id", "text", "toxic").collect()
     rows = [(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: (r["k"], r["doc_id"]))]

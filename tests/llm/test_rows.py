@@ -168,6 +168,20 @@ def test_toxicity_on_held_out_rows(spark):
     assert clean.columns == df.columns and clean.count() == sum(r.predicted == 0 for r in got)
 
 
+def test_sample_counts_and_holds_long_documents(spark, monkeypatch):
+    rows = [(k, "word " * (20000 if k % 4 == 0 else 50)) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(400)], "doc_id long, toxic int")
+    fit_on = [k for k in range(400) if zlib.crc32(str(k).encode()) % 5]
+    n_toxic = sum(k % 4 == 0 for k in fit_on)
+    sample, share = op4_toxicity.labelled_sample(df, marks)
+    assert len(sample) == len(fit_on) and share == pytest.approx(n_toxic / len(fit_on))
+    assert sum(len(t) == 100000 and toxic for t, toxic in sample) == n_toxic
+    monkeypatch.setattr(op4_toxicity, "SAMPLE_BYTES", 250_000)
+    sample, again = op4_toxicity.labelled_sample(df, marks)
+    assert again == share and sum(t for _, t in sample) == 2
+
+
 def test_toxicity_without_classes(spark, documents, no_documents):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in op4_toxicity.classify(documents, none).collect()} == {0.0}
