@@ -218,3 +218,15 @@ def test_unknown_parameters_are_refused():
 
     with pytest.raises(TrainingError, match="num_leaves"):
         build_estimator("gbt", {"num_leaves": 3})
+
+
+def test_tune_query_searches_the_default_space(spark, monkeypatch):
+    """Bounded by the number of trials only."""
+    from domus.plans import q_training
+
+    asked = {}
+    monkeypatch.setattr(q_training, "panel", lambda *_: None)
+    monkeypatch.setattr(q_training, "exact_split", lambda _: spark.createDataFrame([("train",)], "part string"))
+    monkeypatch.setattr(q_training, "tune", lambda _, **options: (None, asked.update(options)))
+    q_training.q_tune(spark, "")
+    assert asked == {"n_trials": 3, "timeout_seconds": float("inf"), "estimator": "gbt"}
