@@ -7,8 +7,8 @@ Shape of the computation (one scan, all columns at once):
 - rows carry a ``side`` column ('reference' / 'current') instead of being split in two;
 - numeric columns are unpivoted to (feature, value) and collapsed to distinct values with
   per-side counts (map-side partial aggregation: a value repeated on a third of all rows
-  is one row after the combine); the two empirical CDFs are running sums over those
-  distinct values, computed with ``running_totals`` (range buckets over (feature, value),
+  is one row after the combine) and written once; the two empirical CDFs are running sums over
+  those distinct values, computed with ``running_totals`` (buckets cut on (feature, value),
   so one feature never lands in one task); D = max |F_ref - F_cur| per feature;
 - text/boolean columns are unpivoted to (feature, category) with per-side counts — the
   full outer match of the two category maps is one ``groupBy``, null is a category;
@@ -26,6 +26,7 @@ from domus.errors import MonitoringError
 from domus.functions.stats import ks_pvalue, log_ratio
 from domus.operators.rank import running_totals
 from domus.operators.split import half_split
+from domus.session import materialize
 
 REF, CUR = "reference", "current"
 
@@ -126,7 +127,7 @@ def value_counts(df: DataFrame, cols: list[str], side_col: str = "side") -> Data
 def ecdf_two_sample(df: DataFrame, cols: list[str], side_col: str = "side") -> DataFrame:
     """Both empirical CDFs at every observed value, per feature:
     (feature, value, F_ref, F_cur)."""
-    vc = value_counts(df, cols, side_col)
+    vc = materialize(value_counts(df, cols, side_col))
     cum = running_totals(vc, ["feature"], ["value"], ["n_ref", "n_cur"])
     totals = vc.groupBy("feature").agg(F.sum("n_ref").alias("_tr"), F.sum("n_cur").alias("_tc"))
     return (cum.join(F.broadcast(totals), "feature").select(
@@ -217,6 +218,7 @@ def drift_report_table(df: DataFrame, cols: list[str] | None = None, side_col: s
                        psi_threshold: float = C.PSI_THRESHOLD) -> DataFrame:
     """Per-feature test results plus per-side summaries for numeric features."""
     cols = cols or [c for c in df.columns if c != side_col]
+    df = materialize(df.select(side_col, *cols))  # both tests and the summary read it
     feats = drift_features(df, cols, side_col, p_threshold, psi_threshold)
     num, _ = split_columns(df, cols)
     if not num:

@@ -5,8 +5,9 @@ skipped, all-null -> 0.0); 5 categoricals -> text, null -> "missing"; 5 booleans
 0/1, null -> 0. Exactly the 24 feature columns are emitted, in order; the target and ids
 never are. NaN is not null and is kept (``coalesce``, not ``fillna``).
 
-Medians are computed in one aggregate (``median`` is exact). The medians become literals
-in the transform, so scoring is a narrow projection (no join, no shuffle).
+Medians are exact, and found for all columns at once by counting digits (``selection``): no value is
+shuffled or held in a buffer. They become literals in the transform, so scoring is a narrow projection
+(no join, no shuffle).
 """
 
 from __future__ import annotations
@@ -23,35 +24,14 @@ from pyspark.sql import functions as F
 
 from domus import constants as C
 from domus.errors import FeatureError
-from domus.operators.rank import value_at_ranks
+from domus.operators.selection import medians
 
 
-def median_exprs(cols: tuple[str, ...] | list[str]) -> list[Column]:
-    """Exact median per column, nulls skipped, all-null -> 0.0."""
-    return [F.coalesce(F.median(F.col(c).cast("double")), F.lit(0.0)).alias(c) for c in cols]
-
-
-def column_medians(df: DataFrame, cols=C.NUMERIC_FEATURES, method: str = "aggregate") -> dict[str, float]:
-    """Medians of ``cols`` as a dict (one job).
-
-    ``method="aggregate"`` uses Spark's exact ``median`` (distinct values per column are
-    held in one buffer — right for bounded listing attributes). ``method="ranked"`` uses
-    the exact bucketed order statistic for unbounded-cardinality columns.
-    """
-    if method == "aggregate":
-        row = df.agg(*median_exprs(cols)).collect()[0]
-        return {c: float(row[c]) for c in cols}
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).collect()[0]
-    out = {}
-    for c in cols:
-        n = int(counts[c])
-        if n == 0:
-            out[c] = 0.0
-            continue
-        lo, hi = (n + 1) // 2, (n + 2) // 2
-        v = value_at_ranks(df.select(F.col(c).cast("double").alias(c)), c, sorted({lo, hi}))
-        out[c] = (float(v[lo]) + float(v[hi])) / 2.0
-    return out
+def column_medians(df: DataFrame, cols=C.NUMERIC_FEATURES, method: str = "ranked") -> dict[str, float]:
+    """Exact median per column, nulls skipped, all-null -> 0.0. ``ranked`` is the only method."""
+    if method != "ranked":
+        raise FeatureError(f"there is no method {method!r} for medians")
+    return medians(df, cols)
 
 
 def impute_columns(medians: dict[str, float]) -> list[Column]:
@@ -77,12 +57,12 @@ class _ImputerParams(Params):
                       typeConverter=TypeConverters.toString)
     keepCols = Param(Params._dummy(), "keepCols", "columns passed through after the features",
                      typeConverter=TypeConverters.toListString)
-    medianMethod = Param(Params._dummy(), "medianMethod", "aggregate | ranked",
+    medianMethod = Param(Params._dummy(), "medianMethod", "ranked",
                          typeConverter=TypeConverters.toString)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(targetCol=C.TARGET, keepCols=[], medianMethod="aggregate")
+        self._setDefault(targetCol=C.TARGET, keepCols=[], medianMethod="ranked")
 
 
 class ListingImputer(Estimator, _ImputerParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -90,7 +70,7 @@ class ListingImputer(Estimator, _ImputerParams, DefaultParamsReadable, DefaultPa
 
     @keyword_only
     def __init__(self, targetCol: str = C.TARGET, keepCols: list[str] | None = None,
-                 medianMethod: str = "aggregate"):
+                 medianMethod: str = "ranked"):
         super().__init__()
         kwargs = {k: v for k, v in self._input_kwargs.items() if v is not None}
         self._set(**kwargs)

@@ -5,28 +5,31 @@ are split into *buckets* that are contiguous in the sort order:
 
 - for hash orders (``md5``) the bucket is the leading hex digits of the hash, which is
   uniform, deterministic and needs no sampling;
-- for any other order the rows are range-partitioned on the full sort key (Spark samples
-  the composite key, so even one value holding a third of the rows is spread over many
-  buckets by the tie-breaking columns) and the result is checkpointed to the shared
-  checkpoint folder, so every later step sees the same bucket ids after a recompute.
+- for any other order the boundaries are quantiles of a sample of about ``SAMPLE`` keys. They become
+  literals, and the bucket of a row is a function of its whole sort key, so even one value that a
+  third of the rows hold is spread over many buckets by the columns that break ties. No row is
+  moved or written to find its bucket, and a recompute after executor loss finds the same one.
+  The sample decides how even the buckets are, and no result.
 
 Bucket totals are a few thousand numbers at most; their prefix sums are the offsets.
 Only the buckets that contain a requested cut are ever sorted when cuts are asked for,
-and a full rank sorts each bucket independently.
+and a full rank sorts each bucket independently, after one shuffle. Sample, totals and result
+each read the input: callers hand in a written table or a cheap projection of one.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from domus.session import materialize
+from domus.operators.selection import order_statistics
 
-_ROWS_PER_BUCKET = 1_000_000
+#: Sampled keys, rows a bucket, and buckets at most (a literal each).
+SAMPLE = 16_384
+ROWS_PER_BUCKET = 1_000_000
+BUCKETS = 2_048
 _BUCKET_COL = "_rk_bucket"
 
 
@@ -40,14 +43,75 @@ def hash_bucket(hash_col: str, digits: int) -> Column:
     return F.conv(F.substring(F.col(hash_col), 1, digits), 16, 10).cast("long")
 
 
-def range_buckets(df: DataFrame, order_cols: list[str], n: int | None = None) -> DataFrame:
-    """Add ``_rk_bucket``: range-partition id on the composite order, checkpointed."""
-    spark = df.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nb = max(base, math.ceil((n or 0) / _ROWS_PER_BUCKET))
-    ranged = (df.repartitionByRange(nb, *[F.col(c).asc_nulls_first() for c in order_cols])
-              .withColumn(_BUCKET_COL, F.spark_partition_id().cast("long")))
-    return materialize(ranged)
+def with_bucket(df: DataFrame, position: Column, bounds: list[Column], name: str = _BUCKET_COL) -> DataFrame:
+    """Add the number of ascending literal boundaries that are not above a row's position.
+
+    A binary search in projections: each halves the span by one comparison, so that rows cost the logarithm of the
+    number of boundaries, inside generated code."""
+    if not bounds:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    at = f"{name}_at"
+    df = df.withColumns({at: position, name: F.lit(0)})
+    listed = F.array(*bounds)
+    step = 1 << (len(bounds).bit_length() - 1)
+    while step:
+        upper = F.get(listed, F.col(name) + (step - 1))  # null behind the last one
+        df = df.withColumn(name, F.col(name) + F.when(upper <= F.col(at), step).otherwise(0))
+        step //= 2
+    return df.withColumn(name, F.col(name).cast("long")).drop(at)
+
+
+def _sort_key(row) -> tuple:
+    """Python twin of Spark's ascending order: nulls first, NaN last, text by code point."""
+    return tuple((v is not None, isinstance(v, float) and math.isnan(v), 0 if v is None or v != v else v) for v in row)
+
+
+def sampled_bounds(df: DataFrame, order_cols: list[str], n: int | None = None) -> list[list]:
+    """Distinct boundary keys, ascending, for buckets of about equal size."""
+    n = df.count() if n is None else n
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(BUCKETS, max(4 * parts, math.ceil(n / ROWS_PER_BUCKET)))
+    keys = df.select(*order_cols)
+    if n > SAMPLE:
+        keys = keys.sample(SAMPLE / n, seed=17)
+    seen = sorted((list(r) for r in keys.collect()), key=_sort_key)
+    picked = [seen[len(seen) * k // wanted] for k in range(1, wanted)] if seen else []
+    return [b for k, b in enumerate(picked) if k == 0 or b != picked[k - 1]]
+
+
+def with_range_buckets(df: DataFrame, order_cols: list[str], n: int | None = None) -> DataFrame:
+    """Add ``_rk_bucket``, ascending with the key."""
+    types = {f.name: f.dataType for f in df.select(*order_cols).schema.fields}
+    bounds = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order_cols, b, strict=True)])
+              for b in sampled_bounds(df, order_cols, n)]
+    return with_bucket(df, F.struct(*order_cols), bounds)
+
+
+def repeated_keys(df: DataFrame, key_cols: list[str]) -> tuple[int, int]:
+    """(rows beyond the first of a repeated key, rows with a null in the key).
+
+    Hashes of 64 bits are counted, so that only they are shuffled; keys are compared only among the rows whose
+    hash occurs twice."""
+    h = F.xxhash64(*key_cols)
+    whole = F.lit(True)
+    for c in key_cols:
+        whole = whole & F.col(c).isNotNull()
+    counts = df.select(h.alias("_h"), whole.alias("_whole")).groupBy("_h").agg(
+        F.count(F.lit(1)).alias("_n"), F.count(F.when(~F.col("_whole"), 1)).alias("_nulls"))
+    odd = counts.filter((F.col("_n") > 1) | (F.col("_nulls") > 0))
+    total = odd.agg(F.coalesce(F.sum("_nulls"), F.lit(0)).alias("nulls"), F.count(F.lit(1)).alias("odd")).first()
+    if not total["odd"]:
+        return 0, 0
+    again = df.select(*key_cols, h.alias("_h")).filter(whole).join(odd.select("_h"), "_h", "left_semi")
+    groups = again.groupBy(*key_cols).count().filter("count > 1")
+    return int(groups.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0))).first()[0]), int(total["nulls"])
+
+
+def require_unique(df: DataFrame, key: str | list[str] | tuple[str, ...]) -> None:
+    """``ValueError`` if the key is null or repeated somewhere. Ask once a table: splits of it take its word."""
+    repeated, nulls = repeated_keys(df, [key] if isinstance(key, str) else list(key))
+    if repeated or nulls:
+        raise ValueError(f"order key {key!r} is not unique and non-null ({repeated} repeated, {nulls} null)")
 
 
 def _lex_greater(order_cols: list[str], values: list) -> Column:
@@ -59,26 +123,9 @@ def _lex_greater(order_cols: list[str], values: list) -> Column:
     return expr
 
 
-def _bucket_offsets(df: DataFrame, weight: Column | None = None,
-                    unique_key: str | list[str] | None = None) -> list[tuple[int, int, int]]:
-    """Sorted (bucket, offset, total) — one row per non-empty bucket (bounded, collected).
-
-    With ``unique_key`` (a key that determines the bucket) the same job also verifies the
-    key is unique and non-null, so no separate counting pass is needed.
-    """
-    w = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    aggs = [w.alias("_t")]
-    if unique_key is not None:
-        keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
-        whole = reduce(and_, [F.col(c).isNotNull() for c in keys])
-        aggs += [F.count_distinct(*keys).alias("_d"), F.count(F.when(whole, 1)).alias("_nn")]
-    rows = df.groupBy(_BUCKET_COL).agg(*aggs).collect()
-    if unique_key is not None:
-        dup = sum(int(r["_t"]) - int(r["_d"]) for r in rows)
-        nulls = sum(int(r["_t"]) - int(r["_nn"]) for r in rows)
-        if dup or nulls:
-            raise ValueError(f"order key {unique_key!r} is not unique and non-null "
-                             f"({dup} repeated, {nulls} null)")
+def _bucket_offsets(df: DataFrame) -> list[tuple[int, int, int]]:
+    """Sorted (bucket, offset, total) — one row per non-empty bucket (bounded, collected)."""
+    rows = df.groupBy(_BUCKET_COL).agg(F.count(F.lit(1)).alias("_t")).collect()
     out, acc = [], 0
     for r in sorted(rows, key=lambda r: r[_BUCKET_COL]):
         out.append((int(r[_BUCKET_COL]), acc, int(r["_t"])))
@@ -98,18 +145,18 @@ def with_buckets(df: DataFrame, order_cols: list[str], bucket: Column | None,
                  n: int | None = None) -> DataFrame:
     if bucket is not None:
         return df.withColumn(_BUCKET_COL, bucket)
-    return range_buckets(df, order_cols, n)
+    return with_range_buckets(df, order_cols, n)
 
 
 def cut_keys(df: DataFrame, order_cols: list[str], cuts, bucket: Column | None = None,
-             n: int | None = None, unique_key: str | list[str] | None = None) -> tuple[dict[int, list], list[int], int]:
+             n: int | None = None) -> tuple[dict[int, list], list[int], int]:
     """Order-key values of the rows at the given 1-based ranks (only cut buckets are sorted).
 
     ``cuts`` is a list of ranks or a function of the row count returning one. Returns
     (keys by rank, the cut ranks, row count).
     """
-    b = with_buckets(df, order_cols, bucket, n)
-    offsets = _bucket_offsets(b, unique_key=unique_key)
+    b = with_buckets(df.select(*order_cols), order_cols, bucket, n)
+    offsets = _bucket_offsets(b)
     total = offsets[-1][1] + offsets[-1][2] if offsets else 0
     cuts = list(cuts(total)) if callable(cuts) else list(cuts)
     wanted = {c: _locate(offsets, c) for c in cuts if 0 < c <= total}
@@ -129,16 +176,15 @@ def cut_keys(df: DataFrame, order_cols: list[str], cuts, bucket: Column | None =
 
 
 def segment_by_rank(df: DataFrame, order_cols: list[str], cuts, segment_col: str = "segment",
-                    bucket: Column | None = None, n: int | None = None,
-                    unique_key: str | list[str] | None = None) -> DataFrame:
+                    bucket: Column | None = None, n: int | None = None) -> DataFrame:
     """Label rows 0..len(cuts) by rank: segment s holds ranks in (cuts[s-1], cuts[s]].
 
-    Exact and partition-independent; order keys must be unique and non-null. Only the
+    Exact and partition-independent; order keys must be unique and non-null (``require_unique``). Only the
     buckets containing a cut are sorted; every other row is labelled by comparing its key
-    with the (at most ``len(cuts)``) cut keys. ``cuts`` may be a function of the row count,
-    which then comes from the same job that counts the buckets.
+    with the (at most ``len(cuts)``) cut keys: a projection, no shuffle. ``cuts`` may be a function of the
+    row count, which then comes from the same job that counts the buckets.
     """
-    keys, cuts, _ = cut_keys(df, order_cols, cuts, bucket, n, unique_key)
+    keys, cuts, _ = cut_keys(df, order_cols, cuts, bucket, n)
     seg = F.lit(0)
     for c in cuts:
         if c <= 0:
@@ -150,7 +196,7 @@ def segment_by_rank(df: DataFrame, order_cols: list[str], cuts, segment_col: str
 
 def global_rank(df: DataFrame, order_cols: list[str], rank_col: str = "rank",
                 bucket: Column | None = None, n: int | None = None) -> DataFrame:
-    """Exact 1-based ``row_number`` over the whole frame in ``order_cols`` order.
+    """Exact 1-based ``row_number`` over the whole frame in ``order_cols`` order (nulls first).
 
     Each bucket is sorted on its own (``Window.partitionBy(bucket)``), then shifted by the
     rows of all earlier buckets. The offsets table has one row per bucket, a size fixed
@@ -169,13 +215,13 @@ def global_rank(df: DataFrame, order_cols: list[str], rank_col: str = "rank",
 
 def running_totals(df: DataFrame, group_cols: list[str], order_cols: list[str],
                    sum_cols: list[str], suffix: str = "_cum") -> DataFrame:
-    """Running sums of ``sum_cols`` within each group in ``order_cols`` order.
+    """Running sums of ``sum_cols`` within each group in ``order_cols`` order, for a bounded number of groups.
 
-    Rows are range-partitioned on (group, order); each bucket computes local running sums
-    and adds the totals of the same group in earlier buckets. Works when one group is
-    most of the data (it spans many buckets).
+    Buckets are cut on (group, order); each computes local running sums and adds the totals of the
+    same group in earlier buckets. Works when one group is most of the data (it spans many
+    buckets). The offsets have at most a row for each bucket and each group: they are broadcast.
     """
-    b = range_buckets(df, [*group_cols, *order_cols])
+    b = with_range_buckets(df, [*group_cols, *order_cols])
     part = b.groupBy(_BUCKET_COL, *group_cols).agg(*[F.sum(c).alias(c) for c in sum_cols])
     prior = Window.partitionBy(*group_cols).orderBy(_BUCKET_COL).rowsBetween(
         Window.unboundedPreceding, -1)
@@ -183,41 +229,12 @@ def running_totals(df: DataFrame, group_cols: list[str], order_cols: list[str],
         F.coalesce(F.sum(c).over(prior), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
     local = Window.partitionBy(_BUCKET_COL, *group_cols).orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    joined = b.join(offs, [_BUCKET_COL, *group_cols])
+    joined = b.join(F.broadcast(offs), [_BUCKET_COL, *group_cols])
     return joined.select(
         *df.columns,
         *[(F.sum(c).over(local) + F.col(f"_off_{c}")).alias(f"{c}{suffix}") for c in sum_cols])
 
 
 def value_at_ranks(df: DataFrame, value_col: str, ranks: list[int]) -> dict[int, float]:
-    """Exact order statistics of ``value_col`` (nulls dropped) at 1-based ``ranks``.
-
-    Equal values are collapsed first (map-side partial aggregation), so a value repeated
-    on a third of the rows is one row; the distinct values are range-bucketed and only the
-    buckets holding a requested rank are scanned in order.
-    """
-    vc = (df.select(F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
-          .groupBy("_v").agg(F.count(F.lit(1)).alias("_c")))
-    b = range_buckets(vc, ["_v"])
-    offsets = _bucket_offsets(b, F.col("_c"))
-    total = offsets[-1][1] + offsets[-1][2] if offsets else 0
-    wanted = {r: _locate(offsets, r) for r in ranks if 0 < r <= total}
-    if not wanted:
-        return {}
-    buckets = sorted({bk for bk, _ in wanted.values()})
-    w = Window.partitionBy(_BUCKET_COL).orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = (b.filter(F.col(_BUCKET_COL).isin(buckets))
-             .withColumn("_cum", F.sum("_c").over(w))
-             .withColumn("_prev", F.col("_cum") - F.col("_c")))
-    cond = None
-    for bk, r in set(wanted.values()):
-        c = (F.col(_BUCKET_COL) == bk) & (F.col("_prev") < r) & (F.col("_cum") >= r)
-        cond = c if cond is None else (cond | c)
-    hits = local.filter(cond).select(_BUCKET_COL, "_prev", "_cum", "_v").collect()
-    out = {}
-    for rank, (bk, r) in wanted.items():
-        for h in hits:
-            if int(h[_BUCKET_COL]) == bk and h["_prev"] < r <= h["_cum"]:
-                out[rank] = h["_v"]
-    return out
+    """Exact order statistics of ``value_col`` (nulls dropped) at 1-based ``ranks``, selected by digits."""
+    return order_statistics(df, [value_col], lambda n: ranks)[value_col][1]

@@ -3,7 +3,10 @@
 Row order does not exist in a DataFrame, so every split is defined over a unique key:
 rows are ordered by ``md5(seed | key)`` (a seeded shuffle that does not depend on
 partitioning), and cut at exact sizes with ``segment_by_rank``. Only the hash buckets
-that hold a cut are ever sorted.
+that hold a cut are ever sorted, and the labels are a projection.
+
+Splits need a unique key. ``require_unique`` finds out once a table; a caller that has asked
+passes ``check_unique=False`` to every split of it.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 
 from domus import constants as C
 from domus.errors import TrainingError
-from domus.operators.rank import hash_bucket, hash_order, segment_by_rank
+from domus.operators.rank import hash_bucket, hash_order, require_unique, segment_by_rank
 
 _H = "_split_hash"
 
@@ -43,12 +46,12 @@ def key_columns(key: str | tuple[str, ...]) -> list[str]:
 
 def hash_segments(df: DataFrame, key: str | tuple[str, ...], seed: int, cuts, col: str,
                   check_unique: bool = True) -> DataFrame:
-    """Segments of the seeded hash order; row count (and key uniqueness) come from the same
-    job that counts the hash buckets."""
+    """Segments of the seeded hash order; the row count comes from the job that counts the hash buckets."""
     keys = key_columns(key)
+    if check_unique:
+        require_unique(df, keys)
     with_h = df.withColumn(_H, hash_order(seed, *keys))
-    out = segment_by_rank(with_h, [_H, *keys], cuts, col, bucket=hash_bucket(_H, _DIGITS),
-                          unique_key=keys if check_unique else None)
+    out = segment_by_rank(with_h, [_H, *keys], cuts, col, bucket=hash_bucket(_H, _DIGITS))
     return out.drop(_H)
 
 
@@ -112,16 +115,14 @@ def _checked(fn):
 
 
 def half_split(df: DataFrame, order_cols: list[str], side_col: str = "side",
-               n: int | None = None) -> DataFrame:
+               n: int | None = None, check_unique: bool = True) -> DataFrame:
     """First ``n // 2`` rows in ``order_cols`` order are 'reference', the rest 'current'.
 
-    The order columns must form a unique key; buckets come from range partitioning on the
-    whole key (checkpointed), so a repeated leading value does not make one hot bucket.
+    The order columns must form a unique key; buckets are cut on the
+    whole key, so a repeated leading value does not make one hot bucket.
     """
-    dup = df.groupBy(*order_cols).count().filter(
-        (F.col("count") > 1) | F.greatest(*[F.col(c).isNull().cast("int") for c in order_cols], F.lit(0)).cast("boolean"))
-    if not dup.isEmpty():
-        raise TrainingError(f"half split needs a unique, non-null order key, not {order_cols}")
+    if check_unique:
+        _checked(lambda: require_unique(df, order_cols))
     # the row count comes from the same job that counts the range buckets
     seg = segment_by_rank(df, order_cols, lambda total: [total // 2], "_seg", n=n)
     return (seg.withColumn(side_col, F.when(F.col("_seg") == 0, "reference").otherwise("current"))

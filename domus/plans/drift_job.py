@@ -3,20 +3,22 @@
 L7: load -> reference/current split -> per-feature KS/PSI -> verdict -> report table.
 
 L8 compares every month with *all earlier months*, for all months at once, without
-rescanning per month and without pairing rows:
-
-- KS: distinct (feature, value, month) counts are range-bucketed over (feature, value)
-  (checkpointed). Each bucket of one feature is swept in value order by ``applyInPandas``
-  keeping a vector of per-month cumulative counts (seeded with the totals of the earlier
-  buckets of that feature, passed in as marker rows). For month i the reference CDF is
-  the exclusive prefix over months < i of that vector. Each bucket emits its partial
-  max |F_ref - F_cur| per month; a final ``max`` per (feature, month) gives D.
-- PSI: (feature, category, month) counts grouped by (feature, hash bucket of category);
-  each group turns a category's month vector into reference (earlier months) and current
-  counts and emits partial PSI sums per month; a final ``sum`` gives PSI.
-
-Task memory is bounded by (distinct values or categories per bucket) x (months); the
-bucket count is chosen from those sizes.
+rescanning per month, without pairing rows and without a vector of months for each value. Counts of
+(feature, value, month) are written once, and a month is touched only where its counts change:
+
+- KS: between two values of month i its own CDF stands still while that of the earlier months rises, so
+  |F_ref - F_cur| is largest at a value of month i or just before one. Each row (feature, value, month i) needs
+  two numbers: what month i has up to this value, and what all months before i have. The months are laid
+  out in blocks of about the root of their number; running sums for each block, and for each month within
+  the row's block, give both in two window passes over the same buckets of (feature, value).
+- PSI: a category that month i lacks adds a term that depends on its earlier count alone. Spells in which a
+  category has one earlier count are collapsed by (count, first month, last month) before they are spread over
+  their months, so millions of ids seen once are a few rows; months in which a category occurs are
+  terms of their own.
+
+Buckets are cut at sampled literal boundaries (``rank``); a bucket's sums from earlier buckets come from a table
+of at most (buckets + features) x months rows, summed up in the driver and broadcast. The number of columns is
+bounded by the table's width.
 """
 
 from __future__ import annotations
@@ -24,20 +26,17 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from domus import constants as C
 from domus.errors import MonitoringError
-from domus.functions.stats import ks_pvalue
+from domus.functions.stats import ks_pvalue, log_ratio
 from domus.operators import drift as D
+from domus.operators.rank import _BUCKET_COL, with_range_buckets
 from domus.operators.split import default_key, key_columns
 from domus.session import materialize
 
-_CELLS_PER_TASK = 4_000_000
-
 
 def drift_job(df: DataFrame, cols: list[str] | None = None, exclude: tuple[str, ...] = (),
               month_col: str = "snapshot_month", order_cols: tuple[str, ...] | None = None,
@@ -69,65 +68,91 @@ def _month_idx(month_col: str, months: list[str]):
     return (F.array_position(F.array(*[F.lit(m) for m in months]), F.col(month_col)) - 1).cast("int")
 
 
-def _ks_sweep(m_count: int):
-    out_schema = "feature string, month_idx int, d double"
-
-    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-        feature = pdf["feature"].iloc[0]
-        prior = pdf[pdf["is_prior"]]
-        data = pdf[~pdf["is_prior"]]
-        state = np.zeros(m_count)
-        np.add.at(state, prior["month_idx"].to_numpy(), prior["cnt"].to_numpy().astype(float))
-        totals = np.zeros(m_count)
-        np.add.at(totals, prior["month_idx"].to_numpy(), prior["tot"].to_numpy().astype(float))
-        if data.empty:
-            return pd.DataFrame({"feature": [], "month_idx": [], "d": []})
-        mat = (data.pivot_table(index="value", columns="month_idx", values="cnt", aggfunc="sum",
-                                fill_value=0).reindex(columns=range(m_count), fill_value=0)
-               .sort_index().to_numpy(dtype=float))
-        cum = state[None, :] + np.cumsum(mat, axis=0)          # cumulative per month at each value
-        ref = np.cumsum(cum, axis=1) - cum                      # earlier months only
-        n_ref = np.cumsum(totals) - totals
-        rows = []
-        for i in range(1, m_count):
-            if n_ref[i] <= 0 or totals[i] <= 0:
-                rows.append((feature, i, None))
-                continue
-            d = np.max(np.abs(ref[:, i] / n_ref[i] - cum[:, i] / totals[i]))
-            rows.append((feature, i, float(d)))
-        return pd.DataFrame(rows, columns=["feature", "month_idx", "d"])
-
-    return sweep, out_schema
-
-
-def _psi_sweep(m_count: int, eps: float):
-    out_schema = "feature string, month_idx int, psi double"
-
-    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-        feature = pdf["feature"].iloc[0]
-        data = pdf[~pdf["is_total"]]
-        totals = np.zeros(m_count)
-        tt = pdf[pdf["is_total"]]
-        np.add.at(totals, tt["month_idx"].to_numpy(), tt["cnt"].to_numpy().astype(float))
-        if data.empty:
-            return pd.DataFrame({"feature": [], "month_idx": [], "psi": []})
-        mat = (data.pivot_table(index="cat_key", columns="month_idx", values="cnt", aggfunc="sum",
-                                fill_value=0).reindex(columns=range(m_count), fill_value=0)
-               .to_numpy(dtype=float))
-        ref = np.cumsum(mat, axis=1) - mat
-        n_ref = np.cumsum(totals) - totals
-        rows = []
-        for i in range(1, m_count):
-            if n_ref[i] <= 0 or totals[i] <= 0:
-                rows.append((feature, i, None))
-                continue
-            r = ref[:, i] / n_ref[i] + eps
-            c = mat[:, i] / totals[i] + eps
-            seen = (ref[:, i] > 0) | (mat[:, i] > 0)
-            rows.append((feature, i, float(np.sum(((c - r) * np.log(c / r))[seen]))))
-        return pd.DataFrame(rows, columns=["feature", "month_idx", "psi"])
-
-    return sweep, out_schema
+def _month_totals(counts: DataFrame) -> DataFrame:
+    """feature, month_idx, n_cur, n_ref (rows of all earlier months); a row for each column and month."""
+    totals = counts.groupBy("feature", "month_idx").agg(F.sum("cnt").alias("n_cur"))
+    before = Window.partitionBy("feature").orderBy("month_idx").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumn("n_ref", F.coalesce(F.sum("n_cur").over(before), F.lit(0)))
+
+
+def _earlier_buckets(b: DataFrame, months: int) -> DataFrame:
+    """For each bucket, feature and month that has rows there: ``own0``, the month's rows in the feature's earlier buckets,
+    and ``ref0``, those of all earlier months. At most (buckets + features) x months rows, summed up in the driver."""
+    rows = b.groupBy("feature", _BUCKET_COL, "month_idx").agg(F.sum("cnt")).collect()
+    place = {key: k for k, key in enumerate(sorted({(r[0], r[1]) for r in rows}))}
+    table = np.zeros((len(place), months), np.int64)
+    for f, bucket, month, cnt in rows:
+        table[place[f, bucket], month] = cnt
+    features = [f for f, _ in place]
+    starts = [k for k, f in enumerate(features) if k == 0 or f != features[k - 1]]
+    out = []
+    for start, end in zip(starts, [*starts[1:], len(features)], strict=True):
+        part = table[start:end]
+        table[start:end] = np.cumsum(part, axis=0) - part
+    ref = np.cumsum(table, axis=1) - table
+    for f, bucket, month, _ in rows:
+        k = place[f, bucket]
+        out.append((f, bucket, month, int(table[k, month]), int(ref[k, month])))
+    return b.sparkSession.createDataFrame(out, f"feature string, {_BUCKET_COL} long, month_idx int, own0 long, ref0 long")
+
+
+def _ks_by_month(counts: DataFrame, months: int) -> DataFrame:
+    """feature, month_idx, statistic, n_ref, n_cur from written counts of (feature, value, month_idx)."""
+    width = math.isqrt(max(months - 1, 0)) + 1
+    b = with_range_buckets(counts, ["feature", "value"])
+    early = _earlier_buckets(b, months)
+    block, inner = F.floor(F.col("month_idx") / width).cast("int"), (F.col("month_idx") % width).cast("int")
+    b = b.withColumns({"block": block, "inner": inner})
+
+    def running(keys: list[str], of: Column) -> Column:
+        w = Window.partitionBy(_BUCKET_COL, "feature", *keys).orderBy("value")
+        return F.sum(F.when(of, F.col("cnt"))).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+
+    def total(parts: list[Column]) -> Column:
+        out = F.lit(0)
+        for p in parts:
+            out = out + F.coalesce(p, F.lit(0))
+        return out
+
+    # earlier months with rows at this very value: what just before the value doesn't count yet
+    at = Window.partitionBy(_BUCKET_COL, "feature", "value").orderBy("month_idx").rowsBetween(Window.unboundedPreceding, -1)
+    b = b.withColumn("here", F.coalesce(F.sum("cnt").over(at), F.lit(0)))
+    n_blocks = (months - 1) // width + 1
+    b = b.withColumns({f"block{k}": running([], F.col("block") == k) for k in range(n_blocks - 1)})
+    b = b.withColumn("ref", total([F.when(F.col("block") > k, F.col(f"block{k}")) for k in range(n_blocks - 1)]))
+    b = b.select("feature", _BUCKET_COL, "value", "month_idx", "cnt", "block", "inner", "ref", "here")
+    b = b.withColumns({f"month{k}": running(["block"], F.col("inner") == k) for k in range(width)})
+    ref = F.col("ref") + total([F.when(F.col("inner") > k, F.col(f"month{k}")) for k in range(width - 1)])
+    own = total([F.when(F.col("inner") == k, F.col(f"month{k}")) for k in range(width)])
+    b = b.select("feature", _BUCKET_COL, "month_idx", "cnt", "here", ref.alias("ref"), own.alias("own"))
+    b = b.join(F.broadcast(early), ["feature", _BUCKET_COL, "month_idx"]).join(
+        F.broadcast(_month_totals(counts)), ["feature", "month_idx"]).filter("n_ref > 0")
+    ref, own = F.col("ref") + F.col("ref0"), F.col("own") + F.col("own0")
+    apart = F.abs(ref / F.col("n_ref") - own / F.col("n_cur"))
+    before = F.abs((ref - F.col("here")) / F.col("n_ref") - (own - F.col("cnt")) / F.col("n_cur"))
+    return b.groupBy("feature", "month_idx").agg(F.max(F.greatest(apart, before)).alias("statistic"),
+                                                 F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"))
+
+
+def _psi_by_month(counts: DataFrame, months: int) -> DataFrame:
+    """feature, month_idx, statistic, n_ref, n_cur from written counts of (feature, category, month_idx)."""
+    w = Window.partitionBy("feature", "category").orderBy("month_idx")
+    seen = counts.select(
+        "feature", "month_idx", "cnt",
+        F.coalesce(F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("earlier"),
+        (F.coalesce(F.lead("month_idx").over(w), F.lit(months)) - 1).alias("until"))
+    present = seen.groupBy("feature", "month_idx", "earlier", "cnt").agg(F.count(F.lit(1)).alias("times"))
+    # spells without the category: its earlier count stands still from the month after this one
+    spells = seen.filter(F.col("until") > F.col("month_idx")).groupBy(
+        "feature", (F.col("earlier") + F.col("cnt")).alias("earlier"), (F.col("month_idx") + 1).alias("first"),
+        "until").agg(F.count(F.lit(1)).alias("times"))
+    absent = spells.select("feature", F.explode(F.sequence("first", "until")).alias("month_idx"), "earlier",
+                           F.lit(0).cast("long").alias("cnt"), "times")
+    terms = present.unionByName(absent).groupBy("feature", "month_idx", "earlier", "cnt").agg(F.sum("times").alias("times"))
+    terms = terms.join(F.broadcast(_month_totals(counts)), ["feature", "month_idx"]).filter("n_ref > 0")
+    term = log_ratio(F.col("cnt") / F.col("n_cur"), F.col("earlier") / F.col("n_ref"), C.PSI_EPS)
+    return terms.groupBy("feature", "month_idx").agg(F.sum(term * F.col("times")).alias("statistic"),
+                                                     F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"))
 
 
 def drift_by_month(df: DataFrame, cols: list[str] | None = None, month_col: str = "snapshot_month",
@@ -137,75 +162,30 @@ def drift_by_month(df: DataFrame, cols: list[str] | None = None, month_col: str
     month after the first, each month against all earlier months."""
     spark = df.sparkSession
     cols = [c for c in (cols or df.columns) if c not in exclude]
-    months = _months(df, month_col)
-    m = len(months)
     num, cat = D.split_columns(df, cols)
-    midx = _month_idx(month_col, months)
-    base = df.select(midx.alias("month_idx"), *cols)
+    # one written table of the tested columns: the months and both families of counts read it
+    df = materialize(df.select(F.col(month_col).alias("_month"), *[F.col(c).cast("double").alias(f"n{k}") for k, c in enumerate(num)],
+                               *[F.col(c).cast("string").alias(f"c{k}") for k, c in enumerate(cat)]))
+    months = _months(df, "_month")
+    m = len(months)
+    base = df.withColumn("month_idx", _month_idx("_month", months))
+
+    def counted(names: list[str], tag: str, value: str, nulls: bool) -> DataFrame:
+        label = F.element_at(F.array(*[F.lit(c) for c in names]), F.substring("k", 2, 9).cast("int") + 1).alias("feature")
+        long = base.unpivot(["month_idx"], [f"{tag}{k}" for k in range(len(names))], "k", value)
+        if not nulls:
+            long = long.filter(F.col(value).isNotNull())
+        counts = long.groupBy("k", value, "month_idx").agg(F.count(F.lit(1)).alias("cnt"))
+        return materialize(counts.select(label, value, "month_idx", "cnt"))
+
     parts = []
-    # per (feature, month) non-null totals, one small aggregate (features x months rows)
     if num:
-        long = base.select("month_idx", *[F.col(c).cast("double").alias(c) for c in num]).unpivot(
-            ["month_idx"], num, "feature", "value").where(F.col("value").isNotNull())
-        vc = long.groupBy("feature", "value", "month_idx").agg(F.count(F.lit(1)).alias("cnt"))
-        n_vc = vc.count()
-        nb = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                 math.ceil(n_vc * m / _CELLS_PER_TASK))
-        ranged = materialize(vc.repartitionByRange(nb, "feature", "value")
-                             .withColumn("bucket", F.spark_partition_id().cast("long")))
-        bt = ranged.groupBy("feature", "bucket", "month_idx").agg(F.sum("cnt").alias("cnt"))
-        from pyspark.sql import Window
-
-        # small grid: every (bucket, month) of a feature, so each bucket gets a full state vector
-        grid = (bt.select("feature", "bucket").distinct()
-                .join(bt.select("feature", "month_idx").distinct(), "feature")
-                .join(bt, ["feature", "bucket", "month_idx"], "left").fillna(0, ["cnt"]))
-        w = Window.partitionBy("feature", "month_idx").orderBy("bucket").rowsBetween(
-            Window.unboundedPreceding, -1)
-        totals = bt.groupBy("feature", "month_idx").agg(F.sum("cnt").alias("tot"))
-        markers = (grid.withColumn("prior", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-                   .join(totals, ["feature", "month_idx"])
-                   .select("feature", "bucket", F.lit(None).cast("double").alias("value"),
-                           "month_idx", F.col("prior").alias("cnt"), F.lit(True).alias("is_prior"),
-                           F.col("tot").cast("long").alias("tot")))
-        rows = ranged.select("feature", "bucket", "value", "month_idx", "cnt",
-                             F.lit(False).alias("is_prior"), F.lit(None).cast("long").alias("tot"))
-        sweep, schema = _ks_sweep(m)
-        part = rows.unionByName(markers).groupBy("feature", "bucket").applyInPandas(sweep, schema)
-        d = part.groupBy("feature", "month_idx").agg(F.max("d").alias("statistic"))
-        nn = totals.withColumn(
-            "n_ref", F.sum("tot").over(Window.partitionBy("feature").orderBy("month_idx")
-                                       .rowsBetween(Window.unboundedPreceding, -1)))
-        ks = d.join(nn.select("feature", "month_idx", F.col("tot").alias("n_cur"), "n_ref"),
-                    ["feature", "month_idx"])
+        ks = _ks_by_month(counted(num, "n", "value", nulls=False), m)
         parts.append(ks.select("feature", "month_idx", F.lit("ks").alias("test"), "statistic",
                                ks_pvalue(F.col("statistic"), F.col("n_ref"), F.col("n_cur")).alias("p_value"),
                                "n_ref", "n_cur"))
     if cat:
-        long = base.select("month_idx", *[F.col(c).cast("string").alias(c) for c in cat]).unpivot(
-            ["month_idx"], cat, "feature", "category")
-        cc = long.groupBy("feature", "category", "month_idx").agg(F.count(F.lit(1)).alias("cnt"))
-        n_cc = cc.count()
-        nb = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                 math.ceil(n_cc * m / _CELLS_PER_TASK))
-        keyed = cc.withColumn("bucket", F.pmod(F.xxhash64("category"), F.lit(nb))).withColumn(
-            "cat_key", F.coalesce(F.col("category"), F.lit("\u0000null")))
-        totals = cc.groupBy("feature", "month_idx").agg(F.sum("cnt").alias("cnt"))
-        tot_rows = (keyed.select("feature", "bucket").distinct().join(totals, "feature")
-                    .select("feature", "bucket", F.lit(None).cast("string").alias("cat_key"),
-                            "month_idx", "cnt", F.lit(True).alias("is_total")))
-        rows = keyed.select("feature", "bucket", "cat_key", "month_idx", "cnt",
-                            F.lit(False).alias("is_total")).unionByName(tot_rows)
-        sweep, schema = _psi_sweep(m, C.PSI_EPS)
-        part = rows.groupBy("feature", "bucket").applyInPandas(sweep, schema)
-        p = part.groupBy("feature", "month_idx").agg(F.sum("psi").alias("statistic"))
-        from pyspark.sql import Window
-
-        nn = totals.withColumn(
-            "n_ref", F.sum("cnt").over(Window.partitionBy("feature").orderBy("month_idx")
-                                       .rowsBetween(Window.unboundedPreceding, -1)))
-        p = p.join(nn.select("feature", "month_idx", F.col("cnt").alias("n_cur"), "n_ref"),
-                   ["feature", "month_idx"])
+        p = _psi_by_month(counted(cat, "c", "category", nulls=True), m)
         parts.append(p.select("feature", "month_idx", F.lit("psi").alias("test"), "statistic",
                               F.lit(None).cast("double").alias("p_value"), "n_ref", "n_cur"))
     out = parts[0]
@@ -231,5 +211,3 @@ def drift_by_month_verdict(per_feature: DataFrame, month_col: str = "snapshot_mo
         (F.sum(F.col("drifted").cast("double")) / F.count(F.lit(1))).alias("share_drifted"),
     ).withColumn("dataset_drift", F.col("share_drifted") >= dataset_share)
 
-
-__all__ = ["drift_job", "drift_by_month", "drift_by_month_verdict", "T"]

@@ -16,6 +16,7 @@ from domus.operators.split import half_split
 from domus.plans.catalog import register
 from domus.operators.monitoring import histogram_long
 from domus.plans.drift_job import drift_by_month, drift_by_month_verdict, drift_job
+from domus.session import materialize
 from domus.sources.panel import panel, panel_sql
 from domus.sources.snapshots import LISTING_TYPES
 from pyspark.sql import types as T
@@ -51,7 +52,7 @@ kcum AS (SELECT feature, value,
 ks AS (SELECT feature, max(abs(CAST(rc AS DOUBLE) / tr - CAST(cc AS DOUBLE) / tc)) AS statistic,
               CAST(max(tr) AS BIGINT) AS n_ref, CAST(max(tc) AS BIGINT) AS n_cur
        FROM kcum GROUP BY feature),
-ksp AS (SELECT *, {ks_pvalue_sql('statistic', 'n_ref', 'n_cur')} AS p_value FROM ks)"""
+ksp AS MATERIALIZED (SELECT *, {ks_pvalue_sql('statistic', 'n_ref', 'n_cur')} AS p_value FROM ks)"""
 
 
 def _psi_sql(cols: list[str], src: str = "sided") -> str:
@@ -124,7 +125,7 @@ SELECT uid, CASE WHEN row_number() OVER (ORDER BY uid) <= count(*) OVER () // 2
                  THEN 'reference' ELSE 'current' END AS side FROM panel""")
 def q_single_month_split(spark: SparkSession, sf: str) -> DataFrame:
     """L2: the whole panel as one snapshot: first half by uid is reference, the rest current."""
-    one = panel(spark, sf).withColumn("snapshot_month", F.lit("one"))
+    one = materialize(panel(spark, sf).select("uid").withColumn("snapshot_month", F.lit("one")))
     return D.reference_current(one).select("uid", "side")
 
 
@@ -133,7 +134,7 @@ SELECT uid, CASE WHEN row_number() OVER (ORDER BY id, snapshot_month, uid) <= co
                  THEN 'reference' ELSE 'current' END AS side FROM panel""")
 def q_half_split(spark: SparkSession, sf: str) -> DataFrame:
     """first n // 2 rows in (id, month, uid) order vs the rest."""
-    return half_split(panel(spark, sf), ["id", "snapshot_month", "uid"]).select("uid", "side")
+    return half_split(materialize(panel(spark, sf).select("uid", "id", "snapshot_month")), ["id", "snapshot_month", "uid"]).select("uid", "side")
 
 
 # --- G3 (rows) -------------------------------------------------------------------
@@ -285,6 +286,7 @@ kw AS (SELECT month, feature, sum(r) OVER w AS rc, sum(c) OVER w AS cc,
 ks AS (SELECT month, feature, max(abs(CAST(rc AS DOUBLE) / tr - CAST(cc AS DOUBLE) / tc)) AS statistic,
               CAST(max(tr) AS BIGINT) AS n_ref, CAST(max(tc) AS BIGINT) AS n_cur
        FROM kw WHERE tr > 0 AND tc > 0 GROUP BY month, feature),
+ksp AS MATERIALIZED (SELECT *, {ks_pvalue_sql('statistic', 'n_ref', 'n_cur')} AS p_value FROM ks),
 pl AS ({pl}),
 pc AS (SELECT feature, category, mon, count(*) AS cnt FROM pl GROUP BY feature, category, mon),
 pj AS (SELECT months.m AS month, pc.feature, pc.category,
@@ -299,8 +301,7 @@ ps AS (SELECT pj.month, pj.feature,
        FROM pj JOIN pt ON pj.month = pt.month AND pj.feature = pt.feature
        WHERE tr > 0 AND tc > 0 GROUP BY pj.month, pj.feature)
 SELECT month AS snapshot_month, feature, 'ks' AS test, round(statistic, 6) AS statistic,
-       round({ks_pvalue_sql('statistic', 'n_ref', 'n_cur')}, 6) AS p_value, n_ref, n_cur,
-       {ks_pvalue_sql('statistic', 'n_ref', 'n_cur')} < {C.KS_P_VALUE_THRESHOLD!r} AS drifted FROM ks
+       round(p_value, 6) AS p_value, n_ref, n_cur, p_value < {C.KS_P_VALUE_THRESHOLD!r} AS drifted FROM ksp
 UNION ALL
 SELECT month AS snapshot_month, feature, 'psi' AS test, round(psi, 6) AS statistic,
        CAST(NULL AS DOUBLE) AS p_value, n_ref, n_cur, psi > {C.PSI_THRESHOLD!r} AS drifted FROM ps"""

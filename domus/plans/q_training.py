@@ -31,7 +31,7 @@ def _rm(df: DataFrame) -> DataFrame:
 
 def linear_setup(spark: SparkSession, sf: str) -> tuple[DataFrame, FittedModel]:
     """Panel with exact split + closed-form linear model fit on train (medians from train)."""
-    split = exact_split(materialize(panel(spark, sf)))
+    split = materialize(exact_split(panel(spark, sf)))
     model = fit(split.filter(F.col("part") == "train"), "simple_linear")
     return split, model
 
@@ -47,7 +47,7 @@ def linear_scored(spark: SparkSession, sf: str) -> tuple[DataFrame, FittedModel]
           + ", ".join(f"round({c}, 6) AS {c}" for c in C.NUMERIC_FEATURES) + " FROM med")
 def q_column_medians(spark: SparkSession, sf: str) -> DataFrame:
     """Exact medians of the 14 numeric features over the train part."""
-    split = exact_split(panel(spark, sf))
+    split = materialize(exact_split(panel(spark, sf).select("uid", *C.NUMERIC_FEATURES)))
     med = column_medians(split.filter(F.col("part") == "train"))
     return spark.createDataFrame([tuple(round(med[c], 6) for c in C.NUMERIC_FEATURES)],
                                  ", ".join(f"{c} double" for c in C.NUMERIC_FEATURES))
@@ -97,7 +97,7 @@ def q_kfold_assign(spark: SparkSession, sf: str) -> DataFrame:
 SELECT uid, price_pln, row_number() OVER (ORDER BY price_pln, uid) AS rank FROM panel""")
 def q_global_rank(spark: SparkSession, sf: str) -> DataFrame:
     """Exact global rank of all panel rows by (price, uid), no single-partition window."""
-    p = panel(spark, sf).select("uid", C.TARGET)
+    p = materialize(panel(spark, sf).select("uid", C.TARGET))
     return global_rank(p, [C.TARGET, "uid"], "rank").select(
         "uid", C.TARGET, F.col("rank").cast("long"))
 
@@ -126,10 +126,7 @@ def q_metrics_by_group(spark: SparkSession, sf: str) -> DataFrame:
 def q_conformal_quantile(spark: SparkSession, sf: str) -> DataFrame:
     """Calibrated half-width on the calibration part (alpha 0.1)."""
     scored, _ = linear_scored(spark, sf)
-    cal = scored.filter(F.col("part") == "cal")
-    n = cal.count()
-    rank = conformal.conformal_rank(n, C.CONFORMAL_ALPHA)
-    q = conformal.calibrate(cal, C.TARGET, "prediction", C.CONFORMAL_ALPHA)
+    n, rank, q = conformal.calibrated(scored.filter(F.col("part") == "cal"), C.TARGET, "prediction", C.CONFORMAL_ALPHA)
     return spark.createDataFrame([(n, rank, round(q, 4))], "n_cal long, rank long, q double")
 
 

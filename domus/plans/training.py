@@ -1,4 +1,4 @@
-"""K11 train_flow, K10 tune, D6 cross-validated scores, K12 batch_score.
+"""K11 train_flow, D6 cross-validated scores, K12 batch_score (K10 tune is in ``tuning``).
 
 Flow: validate -> exact split -> fit imputer on train only -> fit estimator -> calibrate
 half-width on the calibration part -> evaluate on test -> register -> advise.
@@ -15,8 +15,6 @@ The driver only ever sees scalars: n, medians, q, metrics.
 
 from __future__ import annotations
 
-import random
-import time
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -30,7 +28,8 @@ from domus.operators import conformal
 from domus.operators.features import ListingImputer, feature_pipeline, impute
 from domus.operators.metrics import evaluate
 from domus.operators.model import build_estimator, fit_simple_linear, predict_simple_linear
-from domus.operators.split import default_key, exact_split, key_columns, kfold_assign
+from domus.operators.split import default_key, exact_split, key_columns
+from domus.plans.tuning import tune  # noqa: F401
 from domus.session import materialize
 
 
@@ -105,12 +104,12 @@ def train_flow(listings: DataFrame, *, estimator: str = "simple_linear", params:
     ``key`` (one column or several) tells rows apart: ``uid`` where there is one, else (id, snapshot_month)."""
     conformal.check_alpha(alpha)
     key = key or default_key(listings)
-    if materialize_input:
-        # one computation of the (possibly joined) input, read back by every later job
-        listings = materialize(listings)
     if contract is not None:
         contract.validate(listings, raise_on_error=True, ignore=tuple(key_columns(key)))
-    split = materialize(exact_split(listings, key, test_size, calibration_size, seed))
+    # the cuts need the key alone; one written table of labelled rows serves every later job
+    split = exact_split(listings, key, test_size, calibration_size, seed)
+    if materialize_input:
+        split = materialize(split)
     train = split.filter(F.col("part") == "train")
     model = fit(train, estimator, params)
     scored = model.predict(split.filter(F.col("part") != "train"), keep=(C.TARGET, "part"))
@@ -197,77 +196,3 @@ def cv_fold_scores(df: DataFrame, x: str, y: str, fold_col: str = "fold") -> Dat
     return (df.join(F.broadcast(coef_df), fold_col)
             .groupBy(fold_col).agg(F.avg(F.abs(ys - pred)).alias("mae"),
                                    F.count(F.lit(1)).cast("long").alias("n")))
-
-
-# ---------------------------------------------------------------------------
-# K10 tune: seeded random search over the boosting space, CV MAE, trial/time limits
-# ---------------------------------------------------------------------------
-TREES = tuple(range(50, 401, 50))
-DEPTHS = tuple(range(2, 9))
-
-
-def propose(rng: random.Random, trees: tuple[int, ...] = TREES, depths: tuple[int, ...] = DEPTHS) -> dict[str, Any]:
-    """One point of the space: tree counts, depths, learning rate log-uniform 1e-3..0.3."""
-    import math
-
-    return {
-        "n_estimators": rng.choice(trees),
-        "max_depth": rng.choice(depths),
-        "learning_rate": math.exp(rng.uniform(math.log(1e-3), math.log(0.3))),
-    }
-
-
-def tune(train: DataFrame, n_trials: int = 5, timeout_seconds: float = 1800.0,
-         estimator: str = "gbt", cv_folds: int = 5, seed: int = C.SEED, key: str | tuple[str, ...] | None = None,
-         trees: tuple[int, ...] = TREES, depths: tuple[int, ...] = DEPTHS) -> tuple[dict[str, Any], DataFrame]:
-    """Minimise cross-validated MAE. Returns (best params, per-trial scores frame).
-
-    Folds are exact seeded k-folds over ``key``. The imputer and encoders are fitted once per
-    fold (on that fold's training rows) and the assembled vectors are cached, so each trial
-    only refits the learner. Same seed -> same proposals -> same result. Stops after
-    ``n_trials`` or when ``timeout_seconds`` is spent (at least one trial runs).
-    ``trees`` and ``depths`` are the space that is searched; every proposal is run as it is.
-    """
-    from pyspark.ml import Pipeline
-
-    from domus.operators.features import one_hot_stages
-
-    key = key or default_key(train)
-    n = train.count()
-    if n == 0:
-        raise TrainingError("search needs non-empty data")
-    k = min(cv_folds, n)
-    # the fold-labelled input is read by every fold fit: compute it once
-    folds = materialize(kfold_assign(train, key, k, seed)
-                        .withColumn("label", F.col(C.TARGET).cast("double")))
-    prepared = []
-    rng = random.Random(seed)
-    start = time.monotonic()
-    results = []
-    try:
-        for f in range(k):
-            tr, va = folds.filter(F.col("fold") != f), folds.filter(F.col("fold") == f)
-            feats = Pipeline(stages=[ListingImputer(keepCols=["label"]), *one_hot_stages()]).fit(tr)
-            vtr = feats.transform(tr).select("features", "label").cache()
-            vva = feats.transform(va).select("features", "label").cache()
-            prepared.append((vtr, vva))
-        for trial in range(n_trials):
-            if trial > 0 and time.monotonic() - start > timeout_seconds:
-                break
-            params = propose(rng, trees, depths)
-            maes = []
-            for vtr, vva in prepared:
-                learner = build_estimator(estimator, params, label_col="label").fit(vtr)
-                scored = learner.transform(vva)
-                maes.append(evaluate(scored, "label", "prediction")["mae"])
-            results.append((trial, params["n_estimators"], params["max_depth"],
-                            float(params["learning_rate"]), float(sum(maes) / len(maes))))
-    finally:
-        for vtr, vva in prepared:
-            vtr.unpersist()
-            vva.unpersist()
-    best = min(results, key=lambda r: (r[4], r[0]))
-    spark = train.sparkSession
-    frame = spark.createDataFrame(
-        results, "trial long, n_estimators long, max_depth long, learning_rate double, cv_mae double")
-    return {"n_estimators": best[1], "max_depth": best[2], "learning_rate": best[3]}, frame

@@ -50,3 +50,55 @@ def test_a_batch_that_runs_again_replaces_its_rows(spark, tmpdir_path):
     for batch_id in (0, 0, 1):
         score_batch(batch, model(), RULES, f"{tmpdir_path}/log", f"{tmpdir_path}/rej", "m", "1", batch_id=batch_id)
     assert spark.read.parquet(f"{tmpdir_path}/log").count() == 2
+
+
+def test_requests_with_unknown_fields_are_rejected_by_name(spark, tmpdir_path):
+    src, log, rejected = (f"{tmpdir_path}/{n}" for n in ("src", "log", "rejected"))
+    good = {"request_id": "a", "city": "warszawa", "square_meters": 30.0}
+    texts = [json.dumps(good), json.dumps({**good, "request_id": "b", "colour": "red"}),
+             json.dumps({"request_id": "c", "Rooms": 3}), "", "  ", "[1, 2]", '"text"',
+             json.dumps({**good, "request_id": "d", "nested": {"x": 1}, "rooms": 2})]
+    spark.createDataFrame([(x,) for x in texts], "value string").coalesce(1).write.text(src)
+    stream_score(spark, src, model(), RULES, log, rejected, f"{tmpdir_path}/ck", "m", "1")
+    assert [r.request_id for r in spark.read.parquet(log).collect()] == ["a"]
+    got = {(r.request_id, r.request): r.reject_reason for r in spark.read.parquet(rejected).collect()}
+    assert set(got) == {("b", texts[1]), ("c", texts[2]), ("d", texts[7]), (None, "[1, 2]"), (None, '"text"')}
+    assert got["b", texts[1]] == got["d", texts[7]] == "column_extra"
+    assert got["c", texts[2]].startswith("column_extra,") and got[None, "[1, 2]"] == got[None, '"text"'] == "malformed"
+
+
+def outcome_rows(spark, path):
+    return {(r.window_start.hour, r.outcome): r for r in spark.read.parquet(path).collect()}
+
+
+def test_windows_without_events_and_late_events(spark, tmpdir_path):
+    """Every window has both outcomes and all buckets; an event behind the watermark changes nothing."""
+    import datetime as dt
+
+    from domus.operators.monitoring import LATENCY_BUCKETS
+    from domus.streaming.outcomes import EVENTS_SCHEMA, bucket_name, stream_outcome_metrics
+
+    def write(rows, name):
+        spark.createDataFrame([(k, dt.datetime(2024, 1, 1, h, m), 1, kind, v, None) for k, (h, m, kind, v) in enumerate(rows)],
+                              EVENTS_SCHEMA).coalesce(1).write.parquet(f"{tmpdir_path}/in/{name}")
+
+    def run():
+        return stream_outcome_metrics(spark, f"{tmpdir_path}/in/*", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", "*.parquet")
+
+    write([(0, 10, "view", 0.2), (0, 50, "error", 9.0), (1, 5, "view", 0.005), (1, 30, "buy", 0.3), (5, 15, "view", None)], "a")
+    run()
+    got = outcome_rows(spark, f"{tmpdir_path}/out")
+    # the watermark is 04:15: hours 0 to 3 are closed, two of them without an event
+    assert set(got) == {(h, o) for h in range(4) for o in ("ok", "error")}
+    assert (got[0, "ok"].n, got[0, "error"].n, got[1, "ok"].n, got[1, "error"].n) == (1, 1, 2, 0)
+    assert all(got[h, o].n == 0 for h in (2, 3) for o in ("ok", "error"))
+    assert got[0, "error"].latency_sum is None and got[2, "ok"].latency_sum == 0.0 and abs(got[1, "ok"].latency_sum - 0.305) < 1e-9
+    for b in LATENCY_BUCKETS:
+        assert got[1, "ok"][bucket_name(b)] == sum(v <= b for v in (0.005, 0.3)) and got[0, "error"][bucket_name(b)] == 0
+    write([(0, 30, "view", 0.1), (2, 30, "view", 0.1), (4, 30, "view", 0.1), (7, 59, "error", 1.0)], "b")
+    run()
+    late = outcome_rows(spark, f"{tmpdir_path}/out")
+    assert all(late[k] == got[k] for k in got)  # closed windows stay as they were
+    assert set(late) == {(h, o) for h in range(6) for o in ("ok", "error")}
+    assert late[4, "ok"].n == 1 and late[5, "ok"].n == 1 and late[5, "ok"].le_10_0 == 0
+    assert spark.read.parquet(f"{tmpdir_path}/out").count() == 12
