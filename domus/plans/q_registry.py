@@ -19,7 +19,7 @@ from domus.operators.metrics import regression_metrics
 from domus.plans import sqlparts as S
 from domus.plans.catalog import register
 from domus.plans.q_training import linear_scored
-from domus.session import scratch_path
+from domus.session import materialize, scratch_path
 
 METRIC_KEYS = ("mae", "rmse", "mape", "r2")
 
@@ -70,24 +70,37 @@ def _flat(df: DataFrame) -> DataFrame:
                      *[map_lookup(F.col("metrics"), k).alias(k) for k in METRIC_KEYS])
 
 
-@register("model_version_table", VERSIONS_SQL + "\nSELECT name, version, stage, mae, rmse, mape, r2 FROM versions")
-def q_model_version_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Versions written as a registry version table + stage events, read back."""
+def _stored_registry(spark: SparkSession, sf: str) -> R.Registry:
+    """The versions written as a registry's version table and stage events."""
     root = scratch_path(spark, "registry")
-    v = versions(spark, sf)
+    v = materialize(versions(spark, sf))
     v.select("name", "version", "run_id", "metrics", "created_at",
              F.lit(None).cast("string").alias("artifact")).write.parquet(f"{root}/versions")
     v.select("name", "version", "stage", "created_at",
              F.lit(1).cast("long").alias("seq")).withColumnRenamed("created_at", "changed_at") \
         .write.parquet(f"{root}/stages")
-    return _flat(R.Registry(spark, root).versions())
+    return R.Registry(spark, root)
+
+
+@register("model_version_table", VERSIONS_SQL + "\nSELECT name, version, stage, mae, rmse, mape, r2 FROM versions")
+def q_model_version_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions written as a registry version table + stage events, read back."""
+    return _flat(_stored_registry(spark, sf).versions())
 
 
 @register("register_version", VERSIONS_SQL + """
-SELECT name, CAST(max(version) + 1 AS BIGINT) AS next_version FROM versions GROUP BY name""")
+SELECT name, version, stage, mae, rmse, mape, r2 FROM versions
+UNION ALL
+SELECT name, version + 1, 'none', mae, rmse, mape, r2 FROM versions
+QUALIFY version = max(version) OVER (PARTITION BY name)""")
 def q_register_version(spark: SparkSession, sf: str) -> DataFrame:
-    """M1: next version number per model name."""
-    return R.next_versions(versions(spark, sf))
+    """M1: for every model name a new version, with the metrics of its latest one, registered through the registry
+    (numbers claimed by create-if-absent); the stored table is read back."""
+    reg = _stored_registry(spark, sf)
+    stored = reg.versions()
+    top = stored.groupBy("name").agg(F.max_by("metrics", "version").alias("metrics"))  # a row for each model name
+    reg.register_all({r["name"]: r["metrics"] for r in top.collect()})
+    return _flat(reg.versions())
 
 
 @register("transition_stage", VERSIONS_SQL + """

@@ -14,7 +14,7 @@ from domus.sources import listings as LS
 from domus.sources import store as ST
 from domus.sources.panel import panel, panel_sql, raw_panel
 from domus.sources.snapshots import rename_columns, yes_no_to_bool
-from domus.session import scratch_path
+from domus.session import materialize, scratch_path
 
 RAW_BOOL = ("hasParkingSpace", "hasBalcony", "hasElevator", "hasSecurity", "hasStorageRoom")
 
@@ -96,7 +96,7 @@ def q_panel_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Upsert the panel (batch order = uid) into an empty table, then upsert a second batch
     repricing the rows without build year; key (id, month), the later row wins."""
     path = scratch_path(spark, "listings")
-    p = valid_panel(spark, sf)
+    p = materialize(valid_panel(spark, sf))
     LS.upsert(spark, path, p.select(*C.LISTING_COLUMNS, "uid"), order_col="uid")
     second = p.filter(F.col("build_year").isNull()).withColumn("price_pln", F.col("price_pln") + 1000)
     LS.upsert(spark, path, second.select(*C.LISTING_COLUMNS, "uid"), order_col="uid")
@@ -108,7 +108,7 @@ def q_panel_upsert(spark: SparkSession, sf: str) -> DataFrame:
 def q_panel_fetch_all(spark: SparkSession, sf: str) -> DataFrame:
     """A10/F2: every stored listing ordered by (id, snapshot_month)."""
     path = scratch_path(spark, "listings")
-    p = valid_panel(spark, sf)
+    p = materialize(valid_panel(spark, sf))
     LS.upsert(spark, path, p.select(*C.LISTING_COLUMNS, "uid"), order_col="uid")
     second = p.filter(F.col("build_year").isNull()).withColumn("price_pln", F.col("price_pln") + 1000)
     LS.upsert(spark, path, second.select(*C.LISTING_COLUMNS, "uid"), order_col="uid")

@@ -43,11 +43,11 @@ class TableStore:
             raise StorageError(f"table {name!r} can't be read: {exc}") from exc
 
 
-def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType, nested: bool = False) -> DataFrame | None:
     """A Parquet table, or None if its path does not exist; any other failure is raised, so that a table
-    that can't be read is never taken for an empty one."""
+    that can't be read is never taken for an empty one. ``nested``: its files may lie in folders of their own."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("recursiveFileLookup", nested).parquet(path)
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
             return None

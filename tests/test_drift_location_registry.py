@@ -202,3 +202,22 @@ def test_metric_tags(spark):
     assert got == {"mae": 1.5}
     merged = df.select(map_merge(metric_tags(F.col("tags")), F.create_map(F.lit("mae"), F.lit(2.0))).alias("m"))
     assert merged.first()["m"] == {"mae": 2.0}
+
+
+def test_racing_registrations_get_numbers_of_their_own(spark, tmpdir_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = ["price", "odd name/..%"]
+
+    def register(k):
+        return Registry(spark, tmpdir_path).register_all({n: {"mae": float(k)} for n in names})
+
+    with ThreadPoolExecutor(6) as pool:
+        taken = list(pool.map(register, range(6)))
+    for n in names:
+        assert sorted(t[n] for t in taken) == [1, 2, 3, 4, 5, 6]
+    stored = Registry(spark, tmpdir_path).versions().collect()
+    assert sorted((r.name, r.version) for r in stored) == sorted((n, v) for n in names for v in range(1, 7))
+    # a writer that died between its claim and its row: the number stays unused
+    assert Registry(spark, tmpdir_path)._claim("price", 7) and not Registry(spark, tmpdir_path)._claim("price", 7)
+    assert register(9)["price"] == 8

@@ -171,3 +171,39 @@ def test_an_unreadable_table_is_not_an_empty_one(spark, tmpdir_path):
     assert read_if_there(spark, f"{tmpdir_path}/nothing", schema) is None
     with pytest.raises(Exception, match="(?i)scheme|filesystem|UnknownHost|class"):
         read_if_there(spark, "nowhere://host/table", schema)
+
+
+def test_upsert_filter_never_lets_a_twin_through(spark, tmpdir_path, monkeypatch):
+    """Against a dictionary: hot keys, several batches, a filter with far too few bits."""
+    import random
+
+    from domus import constants as C
+    from domus.sources import listings as LS
+
+    monkeypatch.setattr(LS, "FILTER_BUCKETS", 1)
+    monkeypatch.setattr(LS, "_BITS", 64)  # nearly every stored row is a suspect
+    r, want = random.Random(5), {}
+    values = {c: {"string": "x", "double": 1.0, "bigint": 1, "boolean": True}[t.simpleString()] for c, t in LS.LISTING_TYPES.items()}
+    for size in (400, 150, 1):
+        rows = []
+        for k in range(size):
+            key = ("hot", "2024-01") if k % 3 == 0 else (f"i{r.randint(0, 200)}", f"2024-0{r.randint(1, 4)}")
+            rows.append((*key, len(want) * 1000 + k, k))
+            want[key] = len(want) * 1000 + k
+        prices = spark.createDataFrame([(*x[:2], p, x[3]) for x, p in zip(rows, [x[2] for x in rows])],
+                                       "id string, snapshot_month string, price_pln long, seq long")
+        batch = prices.select(*[F.col(c) if c in prices.columns else F.lit(values[c]).cast(LS.LISTING_TYPES[c]).alias(c)
+                                for c in C.LISTING_COLUMNS], "seq")
+        assert LS.upsert(spark, f"{tmpdir_path}/t", batch.repartition(4), order_col="seq") == size
+        got = {(x.id, x.snapshot_month): x.price_pln for x in LS.fetch_all(spark, f"{tmpdir_path}/t").collect()}
+        assert got == want
+
+
+def test_most_stored_rows_pass_the_filter_unshuffled(spark):
+    from domus.sources import listings as LS
+
+    stored = spark.range(20_000).select(F.concat(F.lit("s"), "id").alias("id"), F.lit("2024-01").alias("snapshot_month"), F.lit(1).alias("v"))
+    keys = spark.range(19_990, 20_500).select(F.concat(F.lit("s"), "id").alias("id"), F.lit("2024-01").alias("snapshot_month"))
+    bits, buckets = LS.key_filter(keys, 510)
+    assert buckets == 1 and bits.count() == 1
+    assert LS.without_twins(stored, keys, 510).count() == 19_990
