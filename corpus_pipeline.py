@@ -7,6 +7,7 @@ written as Parquet and read again as the next stage's docs.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,21 @@ from domus.llm.op5_minhash import without_duplicates
 from domus.llm.op9_decontamination import without_leaks
 
 
+#: Bytes of an Arrow batch between Spark and its Python workers: two workers of an executor hold a few of them each.
+BATCH_BYTES = 8 << 20
+
+
+def bounded(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, with its rows handed to Python in batches of bounded size (a session setting, as the stage's frame is
+    computed after it returns)."""
+    @wraps(stage)
+    def run_bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run_bounded
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_row``, a number of its own for each row: place of its file among those of one write, and place in
     the file. Two reads of the table give a row the same number, whatever executors come and go. Rows that
@@ -38,26 +54,31 @@ def numbered(docs: DataFrame) -> DataFrame:
     return attempt.select("*", (F.shiftleft(place, 33) + F.col("_metadata.row_index")).alias("_row"))
 
 
+@bounded
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go; the classifier is fitted on the labelled ones."""
     return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+@bounded
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that with the smallest id."""
     return without_duplicates(docs)
 
 
+@bounded
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+@bounded
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the texts; every document stays."""
     return without_secrets(docs)
 
 
+@bounded
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with ``mix_copies`` and their source's ``mix_target`` in words.
 
