@@ -8,7 +8,7 @@ two ends of each interval are sorted together; a running sum of +1 and -1 is the
 the last rule that opened at a height is what lies on the stack there. The top of the stack at a url's key is the
 rule with the longest path for that domain; over a url's keys the longest rule wins.
 
-The sweep runs in buckets of keys. Their boundaries are quantiles of a sample of ``SAMPLE`` urls (it decides how
+The sweep runs in buckets of keys. Their boundaries are quantiles of a sample of about ``SAMPLE`` urls (it decides how
 even the buckets are, and no result). A rule goes to each bucket that its interval touches: no more rules are open at a
 boundary than are nested there. Equal keys are spread over buckets by a hash of the row, so a url that a third of
 the rows hold fills several. Only domains with as many labels as some rule has, and as much of a path as the
@@ -31,10 +31,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from domus.llm.common import table
+from domus.operators.rank import with_bucket
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Urls sampled for the bucket boundaries (those with the smallest hashes), rows a bucket, and buckets at most.
+#: Urls sampled for the bucket boundaries (about), rows a bucket, and buckets at most.
 SAMPLE = 16_384
 ROWS_PER_BUCKET = 1_000_000
 BUCKETS = 2_048
@@ -70,21 +71,6 @@ def canonical(host: Column, path: Column, longest_host: int | None = None) -> Co
     return F.encode(F.concat(labels, F.lit("/"), path), "UTF-8")
 
 
-def _bucket(position: Column, bounds: list[bytes]) -> Column:
-    """Number of boundaries up to a position, looked up in two steps of about the root of their number."""
-    if not bounds:
-        return F.lit(0)
-    step = math.isqrt(len(bounds) - 1) + 1
-    cuts = [bounds[k:k + step] for k in range(0, len(bounds), step)]
-
-    def up_to(array: Column) -> Column:
-        return F.size(F.filter(array, lambda b: b <= position))
-
-    block = up_to(F.array(*[F.lit(c[0]) for c in cuts]))
-    blocks = F.array(*[F.array(*[F.lit(b) for b in c]) for c in cuts])
-    return F.when(block == 0, 0).otherwise((block - 1) * step + up_to(F.element_at(blocks, F.greatest(block, F.lit(1)))))
-
-
 def judged(urls: DataFrame, rules: DataFrame, default: str = "allow", sample: int = SAMPLE,
            rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """page_id, host, path, rule, verdict of every row of ``urls`` (page_id, url); ``rules`` has verdict, host, path."""
@@ -105,19 +91,21 @@ def judged(urls: DataFrame, rules: DataFrame, default: str = "allow", sample: in
         found = rows.select("*", host.alias("host"), F.substring(path, 1, bound["path"]).alias("path"))
         found = found.select(*rows.columns, "host", "path", depth)
         found = found.withColumn("key", canonical(F.expr("substring_index(host, '.', -k)"), F.col("path"), bound["host"]))
-        spread = F.encode(F.hex(F.xxhash64(F.lit("spread"), "page_id")), "UTF-8")  # not the sample's hash
+        spread = F.encode(F.hex(F.xxhash64("page_id", "url")), "UTF-8")
         return found.withColumn("position", F.concat("key", F.lit(b"\0"), spread)).drop("host", "path", "k")
 
-    few = urls.orderBy(F.xxhash64("page_id", "url")).limit(sample)
-    seen = sorted(bytes(r["position"]) for r in keys(few).select("position").collect())
     n_urls = urls.count()
-    n_keys = n_urls * len(seen) / max(min(sample, n_urls), 1)
-    wanted = min(BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_keys / rows_per_bucket)))
-    bounds = sorted({seen[len(seen) * k // wanted] for k in range(1, wanted)}) if seen else []
+    share = min(1.0, sample / max(n_urls, 1))
+    few = urls if share == 1.0 else urls.sample(share, seed=11)
+    seen = sorted(bytes(r["position"]) for r in keys(few).select("position").collect())
+    wanted = min(BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              math.ceil(len(seen) / share / rows_per_bucket)))
+    bounds = [F.lit(b) for b in sorted({seen[len(seen) * k // wanted] for k in range(1, wanted)})] if seen else []
 
-    rows = keys(urls.groupBy("page_id", "url").agg(F.count(F.lit(1)).alias("times")))
+    rows = with_bucket(keys(urls.groupBy("page_id", "url").agg(F.count(F.lit(1)).alias("times"))), F.col("position"), bounds,
+                       "bucket")
     nothing = "CAST(NULL AS {})"
-    swept = rows.select(_bucket(F.col("position"), bounds).alias("bucket"), "key", F.lit(URL).alias("event"),
+    swept = rows.select("bucket", "key", F.lit(URL).alias("event"),
                         F.lit(0).alias("step"), "page_id", "url", "times",
                         F.expr(nothing.format("STRUCT<size: INT, host_size: INT, rule: STRING, verdict: STRING>")
                                ).alias("top"))
@@ -125,8 +113,8 @@ def judged(urls: DataFrame, rules: DataFrame, default: str = "allow", sample: in
     opened = rules.select(canonical(F.col("rule_host"), F.col("rule_path")).alias("key"), F.struct(
         F.length(whole).alias("size"), F.length("rule_host").alias("host_size"), whole.alias("rule"), "verdict").alias("top"))
     opened = opened.withColumn("end", F.concat("key", F.lit(b"\xff")))  # above all that begins with the key
-    opened = opened.withColumn("bucket", F.explode(F.sequence(_bucket(F.col("key"), bounds),
-                                                              _bucket(F.col("end"), bounds))))
+    opened = with_bucket(with_bucket(opened, F.col("key"), bounds, "first"), F.col("end"), bounds, "last")
+    opened = opened.withColumn("bucket", F.explode(F.sequence("first", "last")))
     ends = opened.select("bucket", F.explode(F.array(
         F.struct("key", F.lit(OPENS).alias("event"), F.lit(1).alias("step"), "top"),
         F.struct(F.col("end").alias("key"), F.lit(CLOSES).alias("event"), F.lit(-1).alias("step"),
