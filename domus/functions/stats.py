@@ -46,6 +46,8 @@ def exact_pvalue(d: float, n1: int, n2: int) -> float:
     reach = round(d * a * many)  # paths stay inside where |i * b - j * a| < reach, i of few and j of many steps
     if reach <= 0:
         return 1.0
+    if reach / a * math.log1p(few / many) > 600:  # a row's counts would span more than doubles do; p is below 1e-15
+        return 2.0 * math.exp(-2.0 * d * d * few * many / (few + many))
     low, paths, scale = 0, np.ones(min(many, (reach - 1) // a) + 1), 0.0
     for i in range(1, few + 1):
         first = max(0, (i * b - reach) // a + 1)

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from domus import constants as C
 from domus.errors import MonitoringError
 from domus.functions.stats import ks_pvalue, log_ratio
+from domus.operators.guards import LEAST_TWO_SIDES, require_rows
 from domus.operators.rank import running_totals
 from domus.operators.split import half_split
 from domus.session import materialize
@@ -47,8 +48,7 @@ def reference_current(df: DataFrame, month_col: str = "snapshot_month",
     with one month, the first half in ``order_cols`` order is reference (F3)."""
     row = df.agg(F.count_distinct(month_col).alias("m"), F.max(month_col).alias("latest"),
                  F.count(F.lit(1)).alias("n")).collect()[0]
-    if row["n"] < 2:
-        raise MonitoringError(f"{row['n']} rows can't be split into two sides")
+    require_rows(row["n"], LEAST_TWO_SIDES, "a comparison of two sides", MonitoringError)
     if row["m"] > 1:
         return df.withColumn(side_col, F.when(F.col(month_col) == row["latest"], F.lit(CUR))
                              .otherwise(F.lit(REF)))

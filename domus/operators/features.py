@@ -16,6 +16,7 @@ import json
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -128,18 +129,18 @@ def one_hot_stages(features_col: str = "features") -> list:
     return [indexer, encoder, assembler]
 
 
-def category_index(df: DataFrame, cols=C.CATEGORICAL_FEATURES) -> DataFrame:
-    """K4 table form: (column, category, idx, n) with the alphabetical index the encoder uses.
-
-    Computed as one unpivot + one aggregate + a rank within each (small) column group.
-    """
-    from pyspark.sql import Window
-
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
-        [], list(cols), "column", "category")
-    counts = long.groupBy("column", "category").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column").orderBy("category")
-    return counts.withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
+def encoded_slots(train: DataFrame, cols=C.CATEGORICAL_FEATURES) -> DataFrame:
+    """K4 table form: (column, category, idx, n): the slot of each category in its one-hot block, as the fitted encoder
+    gives it to imputed rows, and the rows whose vector has a one there. One pass over the encoded rows."""
+    model = Pipeline(stages=one_hot_stages()[:2]).fit(train)  # indexer and encoder
+    labels = dict(zip(C.CATEGORICAL_FEATURES, model.stages[0].labelsArray, strict=True))
+    ones = model.transform(train).select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), vector_to_array(F.col(f"{c}__ohe")).alias("slots")) for c in cols])).alias("v"))
+    counts = (ones.select("v.column", F.posexplode("v.slots").alias("idx", "one")).groupBy("column", "idx")
+              .agg(F.sum("one").cast("long").alias("n")))
+    names = train.sparkSession.createDataFrame([(c, k, name) for c in cols for k, name in enumerate(labels[c])],
+                                               "column string, idx int, category string")
+    return counts.join(names, ["column", "idx"]).select("column", "category", "n", F.col("idx").cast("long").alias("idx"))
 
 
 def feature_pipeline(estimator, features_col: str = "features",

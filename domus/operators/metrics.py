@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from domus.errors import TrainingError
+from domus.operators.guards import LEAST_ANY, require_rows
 
 
 def metric_exprs(y: str, p: str) -> list[Column]:
@@ -38,8 +39,7 @@ def regression_metrics(df: DataFrame, y: str = "y", p: str = "prediction",
 def evaluate(df: DataFrame, y: str = "y", p: str = "prediction") -> dict[str, float]:
     """D4 as a dict; empty input -> ``TrainingError``."""
     row = regression_metrics(df, y, p).collect()[0]
-    if not row["n_samples"]:
-        raise TrainingError("evaluate needs a non-empty frame")
+    require_rows(row["n_samples"], LEAST_ANY, "an evaluation", TrainingError)
     return {k: (int(row[k]) if k == "n_samples" else float(row[k]))
             for k in ("mae", "rmse", "mape", "r2", "n_samples")}
 

@@ -5,7 +5,8 @@ and how their parameters map:
 
 - ``gbt`` (also ``xgboost``, ``lightgbm``, ``catboost``) -> ``GBTRegressor``
 - ``random_forest`` -> ``RandomForestRegressor``
-- ``linear`` -> ``LinearRegression``
+- ``linear`` -> ``LinearRegression`` with the ``normal`` solver (exact: one Gram-matrix aggregate; at most 4,096
+  encoded features)
 
 ``n_estimators``/``iterations`` -> ``maxIter`` (or ``numTrees``), ``max_depth``/``depth`` ->
 ``maxDepth``, ``learning_rate`` -> ``stepSize``, ``subsample`` -> ``subsamplingRate``,
@@ -73,7 +74,8 @@ def build_estimator(name: str, params: dict[str, Any] | None = None,
                 kw["numTrees"] = int(params[k])
         return RandomForestRegressor(**kw)
     reg = float(params.get("reg_param", 0.0))
-    return LinearRegression(regParam=reg, elasticNetParam=float(params.get("l1_ratio", 0.0)), **kw)
+    # one aggregate gives the Gram matrix of the encoded features; the driver solves a system of their number
+    return LinearRegression(regParam=reg, elasticNetParam=float(params.get("l1_ratio", 0.0)), solver="normal", **kw)
 
 
 # ---------------------------------------------------------------------------

@@ -201,3 +201,13 @@ def q_derive_price_per_sqm(spark: SparkSession, sf: str) -> DataFrame:
 def q_null_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Null count per contract column."""
     return K.null_profile(panel(spark, sf), list(C.LISTING_COLUMNS))
+
+
+# --- H18 ------------------------------------------------------------------
+@register("current_year", panel_sql() + """
+SELECT uid, build_year, build_year > year(today()) AS not_built_yet, year(today()) - build_year AS age FROM panel""")
+def q_current_year(spark: SparkSession, sf: str) -> DataFrame:
+    """The year of now in UTC, as the contract takes it when no date is injected, held against every build year."""
+    rule = next(r for r in K.listing_contract(record=True).rules() if r.kind == "not_future")
+    return panel(spark, sf).select("uid", "build_year", K.bad_expr(rule).alias("not_built_yet"),
+                                   (F.lit(rule.params[0]) - F.col("build_year")).cast("long").alias("age"))

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from domus import constants as C
 from domus.functions.stats import ks_pvalue_sql
 from domus.operators import drift as D
+from domus.operators.guards import row_count_guards
 from domus.operators.split import half_split
 from domus.plans.catalog import register
 from domus.operators.monitoring import histogram_long
 from domus.plans.drift_job import drift_by_month, drift_by_month_verdict, drift_job
-from domus.session import materialize
+from domus.session import materialize, scratch_path
 from domus.sources.panel import panel, panel_sql
 from domus.sources.snapshots import LISTING_TYPES
 from pyspark.sql import types as T
@@ -137,16 +138,33 @@ def q_half_split(spark: SparkSession, sf: str) -> DataFrame:
     return half_split(materialize(panel(spark, sf).select("uid", "id", "snapshot_month")), ["id", "snapshot_month", "uid"]).select("uid", "side")
 
 
-# --- G3 (rows) -------------------------------------------------------------------
-@register("shared_columns", "SELECT * FROM (VALUES " + ", ".join(
-    f"({k}, '{c}')" for k, c in enumerate(C.LISTING_COLUMNS)) + ") AS t(position, \"column\")")
+# --- G3 / D9 ----------------------------------------------------------------------
+@register("shared_columns", SIDED_SQL + "\n" + "\nUNION ALL ".join(
+    f"SELECT CAST({k} AS INTEGER) AS position, '{c}' AS \"column\", count(CASE WHEN side = 'reference' THEN {c} END) AS n_ref, "
+    f"count(CASE WHEN side = 'current' THEN {c} END) AS n_cur FROM sided" for k, c in enumerate(C.LISTING_COLUMNS)))
 def q_shared_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """Columns shared by the reference and current frames, in reference order."""
-    s = sided(spark, sf)
-    ref = s.filter(F.col("side") == D.REF).drop("side", "uid")
-    cur = s.filter(F.col("side") == D.CUR).drop("side")
+    """Columns shared by the reference and current tables, each written and read back by itself, in reference
+    order, with the values that each side has in them."""
+    s = materialize(sided(spark, sf))
+    root = scratch_path(spark, "sides")
+    s.filter(F.col("side") == D.REF).drop("side", "uid").write.parquet(f"{root}/reference")
+    s.filter(F.col("side") == D.CUR).drop("side").write.parquet(f"{root}/current")
+    ref, cur = (spark.read.parquet(f"{root}/{n}") for n in ("reference", "current"))
     cols = D.shared_columns(ref.columns, cur.columns)
-    return spark.createDataFrame(list(enumerate(cols)), "position int, column string")
+    filled = [df.agg(*[F.count(c).alias(c) for c in cols]).unpivot([], cols, "column", n)
+              for df, n in ((ref, "n_ref"), (cur, "n_cur"))]
+    order = spark.createDataFrame(list(enumerate(cols)), "position int, column string")
+    return order.join(filled[0], "column").join(filled[1], "column").select("position", "column", "n_ref", "n_cur")
+
+
+@register("row_count_guards", panel_sql() + """,
+c AS (SELECT city, snapshot_month, count(*) AS n_rows FROM panel GROUP BY ALL),
+s AS (SELECT *, CAST(round_even(n_rows * 0.2, 0) AS BIGINT) AS n_cal, CAST(round_even(n_rows * 0.2, 0) AS BIGINT) AS n_test FROM c)
+SELECT city, snapshot_month, n_rows, n_rows - n_cal - n_test AS n_train, n_cal, n_test, n_rows >= 1 AS can_fit,
+       n_rows >= 2 AS can_compare, least(n_rows - n_cal - n_test, n_cal, n_test) > 0 AS can_split FROM s""")
+def q_row_count_guards(spark: SparkSession, sf: str) -> DataFrame:
+    """For each city and month the rows, the sizes of an exact split, and the steps they suffice for."""
+    return row_count_guards(panel(spark, sf), ["city", "snapshot_month"])
 
 
 # --- D2 / G2 / C1 ------------------------------------------------------------------

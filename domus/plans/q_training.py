@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 from domus import constants as C
 from domus.operators import conformal
-from domus.operators.features import category_index, column_medians, impute
+from domus.operators.contract import ColumnSpec, Contract
+from domus.operators.features import column_medians, encoded_slots, impute
 from domus.operators.metrics import cv_mean_score, interval_coverage, regression_metrics
 from domus.operators.rank import global_rank
+from domus.operators.registry import Registry
 from domus.operators.split import exact_split, group_split, kfold_assign
 from domus.plans import sqlparts as S
 from domus.plans.catalog import register
 from domus.plans.training import FittedModel, batch_score, cv_fold_scores, fit, train_flow, tune
-from domus.session import materialize
+from domus.session import materialize, scratch_path
 from domus.sources.panel import panel, panel_sql
 
 AS_OF = dt.datetime(2026, 1, 1, 12, 0, 0)  # injected scoring time (H18), fixed for checks
@@ -206,13 +208,20 @@ SELECT "column", category, CAST(count(*) AS BIGINT) AS n,
        CAST(row_number() OVER (PARTITION BY "column" ORDER BY category) - 1 AS BIGINT) AS idx
 FROM lg GROUP BY "column", category""")
 def q_one_hot(spark: SparkSession, sf: str) -> DataFrame:
-    """K4: category -> one-hot slot (alphabetical) with its train count, per categorical."""
+    """K4: the fitted encoder run over the train rows: each category's slot in the one-hot block, and how many
+    vectors have a one there."""
     split, model = linear_setup(spark, sf)
     train = impute(split.filter(F.col("part") == "train"), model.medians)
-    return category_index(train).select("column", "category", F.col("n").cast("long"), "idx")
+    return encoded_slots(train)
 
 
 # --- K11 ------------------------------------------------------------------
+#: What the flow asks of the panel: strict columns, keys and target present, positive areas and prices.
+FLOW_CONTRACT = Contract({c: ColumnSpec() for c in C.LISTING_COLUMNS} | {
+    "id": ColumnSpec(nullable=False), "city": ColumnSpec(nullable=False), "snapshot_month": ColumnSpec(nullable=False),
+    "square_meters": ColumnSpec(lo=0.1), "price_pln": ColumnSpec(nullable=False, lo=1)})
+
+
 @register("train_flow", S.linear_ctes() + S.conformal_ctes() + """,
 m AS (SELECT """ + S.metrics_select("price_pln", "prediction") + """ FROM pred WHERE part = 'test'),
 sz AS (SELECT sum(CASE WHEN part = 'train' THEN 1 ELSE 0 END) AS n_train,
@@ -220,30 +229,58 @@ sz AS (SELECT sum(CASE WHEN part = 'train' THEN 1 ELSE 0 END) AS n_train,
               sum(CASE WHEN part = 'test' THEN 1 ELSE 0 END) AS n_test FROM split)
 SELECT CAST(n_train AS BIGINT) AS n_train, CAST(sz.n_cal AS BIGINT) AS n_cal, CAST(n_test AS BIGINT) AS n_test,
        round(fit.slope, 4) AS slope, round(fit.icpt, 4) AS intercept, round(qv.q, 4) AS q,
-       m.mae, m.rmse, m.mape, m.r2
-FROM sz CROSS JOIN fit CROSS JOIN qv CROSS JOIN m""")
+       m.mae, m.rmse, m.mape, m.r2, run AS version, m.mae AS registered_mae, run = 1 AS should_promote,
+       CASE WHEN run = 1 THEN 'production' ELSE 'none' END AS stage, broken.n AS contract_failures
+FROM sz CROSS JOIN fit CROSS JOIN qv CROSS JOIN m CROSS JOIN (VALUES (1::BIGINT), (2)) AS r(run)
+CROSS JOIN (SELECT count(*) AS n FROM panel WHERE id IS NULL OR city IS NULL OR price_pln IS NULL OR snapshot_month IS NULL
+            OR square_meters <= 0 OR price_pln < 1) AS broken""")
 def q_train_flow(spark: SparkSession, sf: str) -> DataFrame:
-    """Split -> impute -> fit -> calibrate -> evaluate on the whole panel, one summary row."""
-    run = train_flow(panel(spark, sf))
-    m, s = run.metrics, run.sizes
-    row = (s.get("train", 0), s.get("cal", 0), s.get("test", 0), round(run.model.slope, 4),
-           round(run.model.intercept, 4), round(run.model.q, 4), round(m["mae"], 4),
-           round(m["rmse"], 4), round(m["mape"], 6), round(m["r2"], 6))
-    return spark.createDataFrame([row], "n_train long, n_cal long, n_test long, slope double, "
-                                        "intercept double, q double, mae double, rmse double, "
-                                        "mape double, r2 double")
-
-
-# --- K5 (rows) ------------------------------------------------------------
-@register("fit_regressor")
+    """Contract -> split -> impute -> fit -> calibrate -> evaluate -> register -> advise, twice over the whole panel:
+    the first version has no incumbent and goes to production, the second is no better and is held."""
+    listings = materialize(panel(spark, sf))
+    reg = Registry(spark, scratch_path(spark, "registry"))
+    rows = []
+    for _ in (1, 2):
+        run = train_flow(listings, contract=FLOW_CONTRACT, registry=reg)
+        if run.recommendation["should_promote"]:
+            reg.transition_stage("price", run.version["version"], "production")
+        m, s = run.metrics, run.sizes
+        rows.append((s.get("train", 0), s.get("cal", 0), s.get("test", 0), round(run.model.slope, 4),
+                     round(run.model.intercept, 4), round(run.model.q, 4), round(m["mae"], 4),
+                     round(m["rmse"], 4), round(m["mape"], 6), round(m["r2"], 6), int(run.version["version"]),
+                     run.recommendation["should_promote"], len(FLOW_CONTRACT.validate(listings, ignore=("uid",)))))
+    flow = spark.createDataFrame(rows, "n_train long, n_cal long, n_test long, slope double, intercept double, q double, "
+                                       "mae double, rmse double, mape double, r2 double, version long, should_promote boolean, "
+                                       "contract_failures long")
+    stored = reg.versions().select("version", F.round(F.element_at("metrics", "mae"), 4).alias("registered_mae"), "stage")
+    return flow.join(stored, "version")
+
+
+# --- K5 --------------------------------------------------------------------
+RIDGE = 1000.0
+BOOSTED_FLOOR = 0.5
+
+
+@register("fit_regressor", S.linear_ctes() + S.ridge_ctes(RIDGE) + S.conformal_ctes(src="rpred") + f""",
+me AS (SELECT avg(abs(price_pln - prediction)) AS mae, sqrt(avg((price_pln - prediction) ** 2)) AS rmse,
+              1 - sum((price_pln - prediction) ** 2) / (count(*) * var_pop(price_pln)) AS r2, count(*) AS n
+       FROM rpred WHERE part = 'test')
+SELECT 'linear' AS estimator, round(mae, 1) AS mae, round(rmse, 1) AS rmse, round(r2, 6) AS r2, n AS n_samples,
+       round(q, 1) AS q, r2 > {BOOSTED_FLOOR} AS above_floor FROM me CROSS JOIN qv
+UNION ALL SELECT 'gbt', NULL, NULL, NULL, n, NULL, true FROM me""")
 def q_fit_regressor(spark: SparkSession, sf: str) -> DataFrame:
-    """K5: gradient-boosted trees (Spark ML) through the full feature pipeline; test metrics."""
-    run = train_flow(panel(spark, sf), estimator="gbt",
-                     params={"n_estimators": 20, "max_depth": 5, "learning_rate": 0.1, "seed": 42})
-    m = run.metrics
-    return spark.createDataFrame([(m["mae"], m["rmse"], m["mape"], m["r2"], m["n_samples"],
-                                   run.model.q)],
-                                 "mae double, rmse double, mape double, r2 double, n_samples long, q double")
+    """K5: two estimators through the full feature pipeline: the linear one with its test metrics and half-width, and
+    gradient-boosted trees, whose R2 is held against a floor."""
+    listings = materialize(panel(spark, sf))
+    rows = []
+    for name, params in (("linear", {"reg_param": RIDGE}),
+                         ("gbt", {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.1, "seed": 42})):
+        run = train_flow(listings, estimator=name, params=params)
+        m, exact = run.metrics, name == "linear"
+        rows.append((name, *(round(m[c], k) if exact else None for c, k in (("mae", 1), ("rmse", 1), ("r2", 6))),
+                     m["n_samples"], round(run.model.q, 1) if exact else None, m["r2"] > BOOSTED_FLOOR))
+    return spark.createDataFrame(rows, "estimator string, mae double, rmse double, r2 double, n_samples long, q double, "
+                                       "above_floor boolean")
 
 
 # --- K10 (rows) -----------------------------------------------------------

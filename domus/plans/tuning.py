@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from domus import constants as C
 from domus.errors import TrainingError
 from domus.operators.features import ListingImputer, one_hot_stages
+from domus.operators.guards import LEAST_ANY, require_rows
 from domus.operators.model import build_estimator
 from domus.operators.split import default_key, kfold_assign
 from domus.session import materialize
@@ -100,9 +101,7 @@ def tune(train: DataFrame, n_trials: int = 5, timeout_seconds: float = 1800.0,
     trial or rung begins (the first trial always runs). ``trees`` and ``depths`` are the space that is searched.
     """
     key = key or default_key(train)
-    n = train.count()
-    if n == 0:
-        raise TrainingError("search needs non-empty data")
+    n = require_rows(train.count(), LEAST_ANY, "a search", TrainingError)
     folds = fold_vectors(train, key, min(cv_folds, n), n, seed)
     rng, start = random.Random(seed), time.monotonic()
     trials: list[dict[str, Any]] = []

@@ -10,13 +10,19 @@ value that cannot be coerced becomes a counted violation instead of aborting the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import csv
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from domus import constants as C
 from domus.errors import DataError
-from domus.operators.contract import FAILURES
+from domus.operators.contract import FAILURES, coercion_counts
+from domus.session import materialize
 
 # Contract type per normalised column.
 LISTING_TYPES: dict[str, T.DataType] = {
@@ -128,59 +134,90 @@ def month_from_file_name(file_name: Column) -> Column:
     return F.concat_ws("-", year, mon)
 
 
-def _read_group(spark: SparkSession, files: list[str], header: list[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)  # names were checked per file below
-        .option("nullValue", "")
-        .option("mode", "PERMISSIVE")
-        .csv(files)
-        .withColumn("_file_name", F.col("_metadata.file_name"))
-    )
+#: Bytes read at a time until a file's first line ends.
+HEADER_BYTES = 1 << 16
+
+
+def _first_line(path: str) -> str:
+    """The first line of a file, without reading on."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        system, inside = fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+    else:
+        system, inside = fs.FileSystem.from_uri(path)
+    data = b""
+    with system.open_input_stream(inside) as f:
+        while b"\n" not in data:
+            chunk = f.read(HEADER_BYTES)
+            if not chunk:
+                break
+            data += chunk
+    return data.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig")
 
 
-def read_headers(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, ...]]:
-    """Header line of every file in one job: only each file's first split is kept, and the
-    first line of that split (lowest row id) is the header."""
-    import csv
+def _header_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = [next(csv.reader([_first_line(p)]), []) for p in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.list_(pa.string()))], names=["file", "header"])
 
-    lines = (spark.read.text(files).where(F.col("_metadata.file_block_start") == 0)
-             .select(F.col("_metadata.file_path").alias("f"), "value",
-                     F.monotonically_increasing_id().alias("_i")))
-    rows = lines.groupBy("f").agg(F.min_by("value", "_i").alias("h")).collect()
-    return {r["f"]: tuple(next(csv.reader([r["h"]]))) for r in rows}
+
+def _scan(spark: SparkSession, form: str, raw_dir: str) -> DataFrameReader:
+    """Reader of the sale snapshot files under a folder."""
+    return (spark.read.format(form).option("pathGlobFilter", C.SALE_FILE_GLOB).option("recursiveFileLookup", True))
+
+
+def read_headers(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """(file, header): the column names of every sale file. Executors read the first line of each file and no more;
+    the list of files stays a table."""
+    try:
+        files = _scan(spark, "binaryFile", raw_dir).load(raw_dir).select("_metadata.file_path", "path")
+    except AnalysisException as exc:  # missing directory
+        raise DataError(f"no sale snapshot files found in {raw_dir}") from exc
+    return files.mapInArrow(_header_batches, "file string, header array<string>")
 
 
 def load_snapshots(spark: SparkSession, raw_dir: str, failures: bool = False) -> DataFrame:
     """Every ``apartments_pl_YYYY_MM.csv`` under ``raw_dir`` (searched recursively,
     so a month may be sharded over several directories) as one frame of 29 columns.
 
-    Rent files and other look-alikes are skipped by the file-name filter. Files are grouped
-    by header order (columns bind by position in CSV), each group is one multi-file scan,
-    and the groups are stacked with ``unionByName``. Raises ``DataError`` when no file
-    matches or a header lacks a column. ``failures``: see ``normalise``.
+    Rent files and other look-alikes are skipped by the file-name filter. The headers are read first, a line a file,
+    and only the distinct ones (a few) reach the driver. The rest is one scan: files that share a header are read with
+    it; where files order their columns in several ways, cells are read by place and named by each file's header,
+    joined by file. Raises ``DataError`` when no file matches or a header lacks a column. ``failures``: see
+    ``normalise``; ``load_checked`` counts them.
     """
-    probe = (spark.read.option("header", True).option("pathGlobFilter", C.SALE_FILE_GLOB)
-             .option("recursiveFileLookup", True).option("inferSchema", False))
-    try:
-        files = sorted(probe.csv(raw_dir).inputFiles())
-    except Exception as exc:  # missing directory
-        raise DataError(f"no sale snapshot files found in {raw_dir}") from exc
-    if not files:
+    headers = read_headers(spark, raw_dir)
+    distinct = [tuple(r["header"]) for r in headers.select("header").distinct().collect()]
+    if not distinct:
         raise DataError(f"no sale snapshot files found in {raw_dir}")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f, header in sorted(read_headers(spark, files).items()):
+    for header in sorted(distinct):
         check_header(list(header))
-        groups.setdefault(header, []).append(f)
-    frames = [_read_group(spark, fs, list(h)) for h, fs in groups.items()]
-    raw = frames[0]
-    for other in frames[1:]:
-        raw = raw.unionByName(other)
+    width = max(len(h) for h in distinct)
+    one = len(distinct) == 1
+    names = list(distinct[0]) if one else [f"_c{k}" for k in range(width)]
+    cells = (_scan(spark, "csv", raw_dir).schema(T.StructType([T.StructField(n, T.StringType(), True) for n in names]))
+             .option("header", one).option("enforceSchema", True)  # the names were checked above
+             .option("nullValue", "").option("mode", "PERMISSIVE").load(raw_dir))
+    if one:
+        raw = cells.withColumn("_file_name", F.col("_metadata.file_name"))
+    else:
+        found = cells.select(F.array(*names).alias("_cells"), F.col("_metadata.file_path").alias("file"),
+                             F.col("_metadata.file_name").alias("_file_name")).join(headers, "file")
+        found = found.filter(~F.col("_cells").eqNullSafe(F.concat("header", F.array_repeat(
+            F.lit(None).cast("string"), F.lit(width) - F.size("header")))))  # the header line itself
+        raw = found.select("_file_name", *[F.element_at("_cells", F.array_position("header", F.lit(c)).cast("int")).alias(c)
+                                           for c in C.RENAME])
     return normalise(raw, month_from_file_name(F.col("_file_name")), failures=failures)
 
 
+def load_checked(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, list[tuple[str, str, int]]]:
+    """The loaded rows, written once, and B3's (``coercion``, column, rows) for cells that did not parse. The
+    rows keep ``coercion_failures``, so that a contract that validates them counts the same."""
+    listings = materialize(load_snapshots(spark, raw_dir, failures=True))
+    return listings, coercion_counts(listings)
+
+
 def write_snapshot_files(raw: DataFrame, month_col: str, root: str,
                          max_records: int = 1_000_000) -> list[str]:
     """Sink: the raw rows as ``<root>/shard-NNNNN/apartments_pl_YYYY_MM.csv`` files (header

@@ -221,3 +221,62 @@ def test_racing_registrations_get_numbers_of_their_own(spark, tmpdir_path):
     # a writer that died between its claim and its row: the number stays unused
     assert Registry(spark, tmpdir_path)._claim("price", 7) and not Registry(spark, tmpdir_path)._claim("price", 7)
     assert register(9)["price"] == 8
+
+
+def test_exact_law_of_two_samples(spark):
+    """Against all orders of small samples, against values worked out before, and the switch to the asymptotic law."""
+    from itertools import combinations
+    from math import comb
+
+    from domus.functions.stats import EXACT_ROWS, exact_pvalue, ks_pvalue
+
+    assert round(exact_pvalue(0.22, 60, 100), 4) == 0.0461 and round(exact_pvalue(0.325, 30, 40), 4) == 0.0435
+    for n1, n2 in ((1, 1), (3, 4), (4, 4), (2, 6), (5, 3)):
+        found = []
+        for places in combinations(range(n1 + n2), n1):
+            i = j = top = 0
+            for k in range(n1 + n2):
+                i, j = (i + 1, j) if k in places else (i, j + 1)
+                top = max(top, abs(i * n2 - j * n1))
+            found.append(top)
+        for d in sorted(set(found)):
+            assert abs(exact_pvalue(d / (n1 * n2), n1, n2) - sum(x >= d for x in found) / comb(n1 + n2, n1)) < 1e-12
+    assert exact_pvalue(0.0, 5, 9) == 1.0 and exact_pvalue(1.0, 10_000, 10_000) < 1e-9
+    rows = [(0.22, 60, 100), (None, 5, 0), (0.02, EXACT_ROWS + 1, 5000), (0.02, EXACT_ROWS, 5000)]
+    got = [r.p for r in spark.createDataFrame(rows, "d double, a long, b long").select(
+        ks_pvalue(F.col("d"), F.col("a"), F.col("b")).alias("p")).collect()]
+    assert round(got[0], 4) == 0.0461 and got[1] is None and abs(got[2] - got[3]) < 5e-3 and got[2] != got[3]
+
+
+def test_month_sweep_with_gaps_ids_and_many_buckets(spark, monkeypatch):
+    """Months in which a column has no values, ids seen once, ties, values of one month only; many small buckets."""
+    import math
+
+    from domus.operators import rank as R
+
+    monkeypatch.setattr(R, "SAMPLE", 120)
+    r = random.Random(8)
+    rows = []
+    for k in range(700):
+        m = r.choice((1, 2, 4, 5, 6, 7, 9, 10, 11, 12))
+        rows.append((f"2024-{m:02d}", None if m == 5 and k % 2 else r.choice([1.0, 1.0, 2.5, r.gauss(0, 2) + m / 6]),
+                     None if m < 6 else float(k % 9), f"id{k}", r.choice(["a", None, f"c{m}"])))
+    df = spark.createDataFrame(rows, "snapshot_month string, x double, late double, id string, c string").repartition(5)
+    got = {(x.snapshot_month, x.feature): x for x in drift_by_month(df).collect()}
+    months = sorted({x[0] for x in rows})
+    for m in months[1:]:
+        for name, at in (("x", 1), ("late", 2)):
+            ref = [x[at] for x in rows if x[0] < m and x[at] is not None]
+            cur = [x[at] for x in rows if x[0] == m and x[at] is not None]
+            if not ref or not cur:
+                assert got[m, name].statistic is None
+                continue
+            brute = max(abs(sum(v <= p for v in ref) / len(ref) - sum(v <= p for v in cur) / len(cur)) for p in set(ref + cur))
+            assert abs(got[m, name].statistic - brute) < 1e-12 and (got[m, name].n_ref, got[m, name].n_cur) == (len(ref), len(cur))
+        for name, at in (("id", 3), ("c", 4)):
+            ref, cur = [x[at] for x in rows if x[0] < m], [x[at] for x in rows if x[0] == m]
+            psi = 0.0
+            for cat in set(ref) | set(cur):
+                a, b = ref.count(cat) / len(ref) + 1e-6, cur.count(cat) / len(cur) + 1e-6
+                psi += (b - a) * math.log(b / a)
+            assert abs(got[m, name].statistic - psi) < 1e-9

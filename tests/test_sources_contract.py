@@ -207,3 +207,36 @@ def test_most_stored_rows_pass_the_filter_unshuffled(spark):
     bits, buckets = LS.key_filter(keys, 510)
     assert buckets == 1 and bits.count() == 1
     assert LS.without_twins(stored, keys, 510).count() == 19_990
+
+
+def test_headers_of_several_orders_and_quotes(spark, tmpdir_path):
+    """Three orders of columns, one with further columns, in nested folders; only first lines are read for the headers."""
+    from domus.sources.snapshots import read_headers
+
+    rows = [_row(i) for i in range(7)]
+    os.makedirs(f"{tmpdir_path}/deep/er")
+    _write(f"{tmpdir_path}/apartments_pl_2024_01.csv", rows)
+    _write(f"{tmpdir_path}/deep/apartments_pl_2024_02.csv", [list(reversed(r)) for r in rows], list(reversed(HEADER)))
+    _write(f"{tmpdir_path}/deep/er/apartments_pl_2024_03.csv", [["x,y", *r, "z"] for r in rows], ["note, quoted", *HEADER, "more"])
+    headers = {tuple(r.header) for r in read_headers(spark, tmpdir_path).collect()}
+    assert headers == {tuple(HEADER), tuple(reversed(HEADER)), ("note, quoted", *HEADER, "more")}
+    df = load_snapshots(spark, tmpdir_path)
+    assert df.columns == list(C.LISTING_COLUMNS) and df.count() == 21
+    per = df.drop("snapshot_month")
+    by_month = [sorted(map(repr, per.filter(df.snapshot_month == m).collect())) for m in ("2024-01", "2024-02", "2024-03")]
+    assert by_month[0] == by_month[1] == by_month[2]
+
+
+def test_cells_that_do_not_parse_fail_the_flow_without_asking(spark, tmpdir_path):
+    from domus.plans.training import train_on_files
+    from domus.sources.snapshots import load_checked
+
+    rows = [_row(i) for i in range(30)]
+    rows[3][HEADER.index("price")] = "cheap"
+    rows[4][HEADER.index("buildYear")] = "19x0"
+    rows[5][HEADER.index("buildYear")] = "old"
+    _write(f"{tmpdir_path}/apartments_pl_2024_01.csv", rows)
+    _, failures = load_checked(spark, tmpdir_path)
+    assert failures == [("coercion", "build_year", 2), ("coercion", "price_pln", 1)]
+    with pytest.raises(ContractError, match="coercion"):
+        train_on_files(spark, tmpdir_path)

@@ -230,3 +230,55 @@ def test_tune_query_searches_the_default_space(spark, monkeypatch):
     monkeypatch.setattr(q_training, "tune", lambda _, **options: (None, asked.update(options)))
     q_training.q_tune(spark, "")
     assert asked == {"n_trials": 3, "timeout_seconds": float("inf"), "estimator": "gbt"}
+
+
+def test_rungs_and_proposals():
+    from domus.plans import tuning as U
+
+    assert U.rungs(U.TREES) == [50, 100, 200, 400] and U.rungs((3, 5)) == [3, 5] and U.rungs((7,)) == [7]
+    rng = random.Random(0)
+    for k in range(200):
+        p = U.propose(rng, slot=(k % 4, 4))
+        assert p["max_depth"] in U.DEPTHS and U.RATES[0] <= p["learning_rate"] <= U.RATES[1]
+        assert (math.log(p["learning_rate"] / 1e-3) / math.log(300)) // 0.25 == k % 4
+        q = U.propose(rng, around=p)
+        assert abs(q["max_depth"] - p["max_depth"]) <= 1 and q["learning_rate"] <= 2 * p["learning_rate"] + 1e-12
+
+
+def test_a_fit_scores_all_its_beginnings(spark):
+    """The errors of one fit's prefixes are those of the ensemble cut there, and the search keeps the best count."""
+    from domus.operators.model import build_estimator
+    from domus.plans import tuning as U
+
+    train = exact_split(panel(spark, SF)).filter(F.col("part") == "train")
+    fold = U.fold_vectors(train, "uid", 3, train.count(), 42)[0]
+    params = {"max_depth": 3, "learning_rate": 0.3}
+    errors = U.prefix_errors(fold, "gbt", params, 6, 42)
+    small = build_estimator("gbt", {**params, "n_estimators": 4, "seed": 42}).fit(fold[0])
+    assert len(errors) == 6 and errors[3] == pytest.approx(evaluate(small.transform(fold[1]), "label", "prediction")["mae"])
+    best, trials = U.tune(train, n_trials=3, cv_folds=2, trees=(2, 4, 8), depths=(2, 3), min_gain=0.0)
+    rows = {r.trial: r for r in trials.collect()}
+    assert len(rows) == 3 and all(r.n_estimators in (2, 4, 8) for r in rows.values())
+    top = min(rows.values(), key=lambda r: r.cv_mae)
+    assert best == {"n_estimators": top.n_estimators, "max_depth": top.max_depth, "learning_rate": top.learning_rate}
+    assert max(r.n_estimators for r in rows.values()) == 8  # one trial climbed to the top
+    one, spent = U.tune(train, n_trials=4, cv_folds=2, trees=(2, 4), timeout_seconds=0.0)
+    assert spent.count() == 1 and one["n_estimators"] == 2
+    with pytest.raises(TrainingError):
+        U.tune(train.limit(0))
+
+
+def test_encoder_slots_and_guards(spark):
+    from domus.operators.features import encoded_slots
+    from domus.operators.guards import require_rows, row_count_guards
+
+    base = {c: "x" for c in C.CATEGORICAL_FEATURES} | {c: 1.0 for c in C.NUMERIC_FEATURES} | {c: 0 for c in C.BOOL_FEATURES}
+    rows = spark.createDataFrame([{**base, "city": c} for c in "bbaca"])
+    got = {(r.column, r.category): (r.idx, r.n) for r in encoded_slots(rows).collect()}
+    assert [got["city", c] for c in "abc"] == [(0, 2), (1, 2), (2, 1)] and got["ownership", "x"] == (0, 5)
+    sized = {r.g: r for r in row_count_guards(spark.createDataFrame([(g,) for g in "aaaaabbc"], "g string"), ["g"]).collect()}
+    assert (sized["a"].n_train, sized["a"].n_cal, sized["a"].n_test, sized["a"].can_split) == (3, 1, 1, True)
+    assert sized["b"].can_compare and not sized["b"].can_split and sized["c"].can_fit and not sized["c"].can_compare
+    assert require_rows(2, 2, "it", TrainingError) == 2
+    with pytest.raises(TrainingError, match="needs 2 rows"):
+        require_rows(1, 2, "it", TrainingError)
