@@ -1,7 +1,7 @@
 """Text helpers: H1 str_lower_eq, H2 normalise_text, H3 word_contains, H4 regex_capture,
 H5 identifier_check, H6 format_pln, H9 case_when (yes/no), H19 month_to_date.
 
-All are compositions of built-in functions (JVM side, inside whole-stage codegen).
+All are compositions of built-in functions, on the JVM side.
 
 ``normalise_text`` = casefold, ``ł`` -> ``l``, compatibility decomposition without marks, every run of
 characters outside ``[a-z0-9]`` -> one space, trim. Spark has no Unicode decomposition, so ``translate`` tables are

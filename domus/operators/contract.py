@@ -278,7 +278,8 @@ def bad_sql(rule: RuleSpec) -> str:
         return f"{c} > {rule.params[0]}"
     if rule.kind == "trimmed_text":
         lo, hi = rule.params
-        return f"NOT (length(trim({c})) BETWEEN {lo} AND {hi})"
+        bare = f"regexp_replace({c}, '^[ \\t\\n\\v\\f\\r]+|[ \\t\\n\\v\\f\\r]+$', '', 'g')"
+        return f"NOT (length({bare}) BETWEEN {lo} AND {hi})"
     if rule.kind == "positive":
         return f"{c} <= 0"
     raise ValueError(rule.kind)

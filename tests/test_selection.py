@@ -111,3 +111,15 @@ def test_unique_keys(spark):
     R.require_unique(df, "a")
     with pytest.raises(ValueError, match="not unique"):
         R.require_unique(df, ("b",))
+
+
+def test_splits_and_folds_are_projections(spark, monkeypatch):
+    """Once the cuts are known nothing is shuffled, and a table whose key was checked isn't checked again."""
+    from domus.operators import split as P
+
+    df = spark.createDataFrame([(f"u{k}", k) for k in range(500)], "uid string, v long")
+    for out in (P.exact_split(df), P.kfold_assign(df, "uid", 5), P.half_split(df, ["v", "uid"])):
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(P, "require_unique", lambda *_: pytest.fail("asked again"))
+    sizes = {r["part"]: r["count"] for r in P.exact_split(df, check_unique=False).groupBy("part").count().collect()}
+    assert sizes == {"train": 300, "cal": 100, "test": 100}
