@@ -19,15 +19,20 @@ lattice instead of counting paths along its rows.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from domus import constants as C
 
+# functions for Python workers travel by value: executors need no copy of this package for them
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Largest side for which the exact law is used (fixed value).
 EXACT_ROWS = 10_000
 

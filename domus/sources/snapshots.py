@@ -11,9 +11,11 @@ value that cannot be coerced becomes a counted violation instead of aborting the
 from __future__ import annotations
 
 import csv
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,9 @@ from domus.errors import DataError
 from domus.operators.contract import FAILURES, coercion_counts
 from domus.session import materialize
 
+# functions for Python workers travel by value: executors need no copy of this package for them
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Contract type per normalised column.
 LISTING_TYPES: dict[str, T.DataType] = {
     "id": T.StringType(),

@@ -13,10 +13,12 @@ first (session time zone UTC).
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from domus import constants as C
 from domus.operators.monitoring import LATENCY_BUCKETS
 
+# functions for Python workers travel by value: executors need no copy of this package for them
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
