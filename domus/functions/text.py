@@ -45,9 +45,12 @@ PLAIN_FROM, PLAIN_TO, SEVERAL = _tables()
 def normalise_text(col: Column) -> Column:
     """H2: lower, strip accents, non-alphanumeric runs -> one space, trim."""
     plain = F.translate(F.lower(col), PLAIN_FROM, PLAIN_TO)
-    for a, b in SEVERAL:
-        plain = F.replace(plain, F.lit(a), F.lit(b))
-    return F.trim(F.regexp_replace(F.regexp_replace(plain, r"\p{Mn}+", ""), "[^a-z0-9]+", " "))
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in SEVERAL])
+    rest = F.aggregate(pairs, plain, lambda text, pair: F.replace(text, pair["a"], pair["b"]))
+    # all that follows concerns characters beyond ASCII, which most texts don't hold by now
+    ascii_only = F.octet_length(plain) == F.char_length(plain)
+    plain = F.when(ascii_only, plain).otherwise(F.regexp_replace(rest, r"\p{Mn}+", ""))
+    return F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " "))
 
 
 def normalise_text_sql(x: str) -> str:

@@ -46,9 +46,12 @@ def attach_places(df: DataFrame, city_col: str = "city") -> DataFrame:
 
 
 def first_district_match(text_norm: Column) -> Column:
-    """Highest-priority district whose normalised label occurs as whole words."""
-    hits = F.filter(F.col("districts"), lambda p: word_contains(text_norm, p["label_norm"]))
-    return F.try_element_at(hits, F.lit(1))
+    """Highest-priority district whose normalised label occurs as whole words. The text is bound to a variable,
+    so that it is normalised once a row and not once a district."""
+    def first(text: Column) -> Column:
+        return F.try_element_at(F.filter(F.col("districts"), lambda p: word_contains(text, p["label_norm"])), F.lit(1))
+
+    return F.element_at(F.transform(F.array(text_norm), first), 1)
 
 
 def _resolution(lat: Column, lon: Column, dist: Column, label: Column, matched: Column) -> dict[str, Column]:
@@ -75,31 +78,38 @@ def _pick(cases: list[tuple[Column, dict[str, Column]]], default: dict[str, Colu
     return out
 
 
-def address_resolution(text: Column) -> dict[str, Column]:
-    """N2 columns: empty text -> centre (matched); district hit -> its point; else centre
-    (not matched)."""
+def with_hit(df: DataFrame, text: Column, asked: Column | None = None) -> DataFrame:
+    """Add the normalised text (``_q``) and its district (``_hit``), for the rows that are ``asked``. They are columns
+    of their own, because every column of a resolution reads them."""
     q = normalise_text(F.coalesce(text, F.lit("")))
-    hit = first_district_match(q)
+    df = df.withColumn("_q", q if asked is None else F.when(asked, q))
+    return df.withColumn("_hit", F.when(F.col("_q") != "", first_district_match(F.col("_q"))))
+
+
+def address_resolution() -> dict[str, Column]:
+    """N2 columns of a frame ``with_hit``: empty text -> centre (matched); district hit -> its point; else centre
+    (not matched)."""
+    q, hit = F.col("_q"), F.col("_hit")
     return _pick([(q == "", _centre(F.lit(True))), (hit.isNotNull(), _point(hit))],
                  _centre(F.lit(False)))
 
 
 def resolve_address(df: DataFrame, text_col: str, city_col: str = "city") -> DataFrame:
     """Adds latitude, longitude, centre_distance_km, label, matched."""
-    a = attach_places(df, city_col)
-    res = address_resolution(F.col(text_col))
-    return a.withColumns(res).drop("centre_label", "c_lat", "c_lon", "districts")
+    a = with_hit(attach_places(df, city_col), F.col(text_col))
+    return a.withColumns(address_resolution()).drop("centre_label", "c_lat", "c_lon", "districts", "_q", "_hit")
 
 
 def resolve_choice(df: DataFrame, choice_col: str, hint_col: str, city_col: str = "city") -> DataFrame:
     """N3: '__centre__' -> centre; '__other__' -> address text of the hint; an exact
     district label of the city -> its point; anything else -> ``reject_reason`` set and
     null coordinates (a batch row cannot raise)."""
-    a = attach_places(df, city_col)
     choice = F.col(choice_col)
-    exact = F.try_element_at(F.filter(F.col("districts"), lambda p: p["label"] == choice), F.lit(1))
+    a = with_hit(attach_places(df, city_col), F.col(hint_col), choice == C.DISTRICT_OTHER)
+    a = a.withColumn("_exact", F.try_element_at(F.filter(F.col("districts"), lambda p: p["label"] == choice), F.lit(1)))
+    exact = F.col("_exact")
     res = _pick([(choice == C.DISTRICT_CENTRE, _centre(F.lit(True))),
-                 (choice == C.DISTRICT_OTHER, address_resolution(F.col(hint_col))),
+                 (choice == C.DISTRICT_OTHER, address_resolution()),
                  (exact.isNotNull(), _point(exact))],
                 {k: F.lit(None).cast(t) for k, t in
                  (("latitude", "double"), ("longitude", "double"), ("centre_distance_km", "double"),
@@ -108,7 +118,7 @@ def resolve_choice(df: DataFrame, choice_col: str, hint_col: str, city_col: str
     reason = F.when(F.col("c_lat").isNull(), F.concat(F.lit("unknown city "), F.col(city_col))).when(
         ~known, F.concat(F.lit("unknown district "), choice, F.lit(" for city "), F.col(city_col)))
     return (a.withColumns(res).withColumn("reject_reason", reason)
-            .drop("centre_label", "c_lat", "c_lon", "districts"))
+            .drop("centre_label", "c_lat", "c_lon", "districts", "_q", "_hit", "_exact"))
 
 
 def city_centre(df: DataFrame, city_col: str = "city") -> DataFrame:
