@@ -41,10 +41,12 @@ def versions(spark: SparkSession, sf: str) -> DataFrame:
     metrics = F.create_map(*[x for k in METRIC_KEYS for x in (F.lit(k), F.round(k, 4))],
                            F.lit("n"), F.col("n_samples").cast("double"))
     name = F.concat(F.lit("price-"), F.lower("city"))
-    return v.select(name.alias("name"), "version", stage.alias("stage"),
+    # a row for each city and year, read several times: written, so that the panel is scored once
+    return materialize(v.select(
+                    name.alias("name"), "version", stage.alias("stage"),
                     F.md5(F.concat_ws("|", name, F.col("version"))).alias("run_id"),
                     metrics.alias("metrics"),
-                    F.make_timestamp(F.col("year"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("created_at"))
+                    F.make_timestamp(F.col("year"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("created_at")))
 
 
 VERSIONS_SQL = S.linear_ctes() + """,
@@ -73,7 +75,7 @@ def _flat(df: DataFrame) -> DataFrame:
 def _stored_registry(spark: SparkSession, sf: str) -> R.Registry:
     """The versions written as a registry's version table and stage events."""
     root = scratch_path(spark, "registry")
-    v = materialize(versions(spark, sf))
+    v = versions(spark, sf)
     v.select("name", "version", "run_id", "metrics", "created_at",
              F.lit(None).cast("string").alias("artifact")).write.parquet(f"{root}/versions")
     v.select("name", "version", "stage", "created_at",
