@@ -260,6 +260,27 @@ def test_copies_of_a_page_count_once(spark):
         assert " ".join(articles[k - 1000 if k >= 1000 else 0].split()) in got[k] and "Home" not in got[k]
 
 
+def test_style_tree_sums_up_branches(spark):
+    """An element's importance comes from its presentations and children; a branch that is low throughout goes with what is too
+    rare in it to be judged by itself."""
+    r = random.Random(3)
+    rows = []
+    for k in range(20):
+        box = "<p>All rights reserved</p>" + ("<h5>Rare line</h5>" if k < 3 else "")
+        body = f"<p>text {r.random()}</p>" + (f"<h5>Rare note {k}</h5>" if k < 3 else "")
+        rows.append((k, "http://host.example/x", f"<div id=box>{box}</div><div id=body>{body}</div>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {x.page_id: x.text for x in op6_html.main_text(df).collect()}
+    assert all("rights" not in t and "Rare line" not in t and t.startswith("text ") for t in got.values())
+    assert all(got[k].endswith(f" Rare note {k}") for k in range(3))
+    tree = {x.path: (x.importance, x.highest) for x in op6_html.style_tree(op6_html.parsed(df)).collect()}
+    shares = [3 / 20, 17 / 20]  # presentations: with the rare line and without
+    own = -sum(p * np.log(p) for p in shares) / np.log(20)
+    body = (1 - 0.9 ** 2) * (shares[0] * (1 + 1) / 2 + shares[1] * 1) + 0.9 ** 2 * own
+    assert tree["div.body"] == pytest.approx((body, 1)) and tree["div.box"] == pytest.approx((0.9 ** 2 * own, 0.9 ** 2 * own))
+    assert tree[""] == pytest.approx(((1 - 0.9) * (body + 0.9 ** 2 * own) / 2, 1))
+
+
 # 7: chats
 def test_chats_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "<|end|>\n<|turn|>user<|text|>", "\\", "\\\\<|", "<\\|", None, "", "<<|next|>", "é\n\n"]
