@@ -9,9 +9,10 @@ nearby vectors by the leading axes, and compared tile by tile:
   first axis, not from all pairs.
 * Inside a pair of tiles, products of the leading axes are summed first. What is left is at most the product of the
   two suffix norms (Cauchy-Schwarz); once sum and bound together stay below the threshold the pair of vectors
-  is dropped. The survivors are confirmed in double precision on the vectors as given.
+  is dropped. Sum and bound are one matrix product; where many pairs stay, it is made again on more axes. The
+  survivors are confirmed in double precision on the vectors as given.
 
-A tile holds at most about ``TILE`` vectors: crowded regions are cut further by hash, and all their tiles meet.
+A tile holds at most about ``tile_rows`` vectors: crowded regions are cut further by hash, and all their tiles meet.
 A task returns counts for each vector and the links of a spanning forest, never all links of a crowd.
 
 Cases: vectors that are null, zero or hold null or non-finite components link with nothing; vectors of different
@@ -29,12 +30,16 @@ from pyspark.sql import functions as F
 from domus.llm.common import components, table, written
 
 THRESHOLD = 0.95
+#: Vectors a tile: this many, or more of short vectors, up to so many values, as each tile travels to all that are near.
 TILE = 2048
+TILE_VALUES = 1 << 19
 #: Vectors that the axes and the cuts between tiles are fitted on.
 SAMPLE = 16384
 CUT_AXES = 6
 STEPS = (8, 16, 32)
 SLACK = 1e-9
+#: Pairs are confirmed one by one where a step leaves less than one in so many.
+FEW = 200
 
 
 class Tiling:
@@ -77,34 +82,47 @@ def _suffix_norms(x: np.ndarray, k: int) -> np.ndarray:
     return np.sqrt(np.einsum("ij,ij->i", x[:, k:], x[:, k:]))
 
 
+def _bounded(u: np.ndarray, k: int) -> np.ndarray:
+    """The leading ``k`` axes and, as one more, the norm of the others: products of such rows are the sums on the leading
+    axes plus the most that the others can add (Cauchy-Schwarz)."""
+    if k >= u.shape[1]:
+        return u.astype(np.float32)
+    return np.concatenate([u[:, :k], _suffix_norms(u, k)[:, None]], 1).astype(np.float32)
+
+
 def similar_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float, upper: bool):
-    """Rows (i, j) of two blocks of vectors with cosine at or above the threshold; ``upper``: only i < j."""
+    """Rows (i, j) of two blocks of vectors with cosine at or above the threshold; ``upper``: only i < j.
+
+    Bounds are products in single precision, with more slack than their rounding; while many pairs are left, all are
+    bounded again on more axes, and what is left then is confirmed in double precision."""
+    dim = a.shape[1]
     ua, ub = _unit(a) @ axes, _unit(b) @ axes
-    steps = [k for k in STEPS if k < a.shape[1]]
+    steps = [*(k for k in STEPS if k < dim), dim]
+    sides = {}  # step: both blocks on its axes
+    floor = np.float32(threshold - SLACK - 4e-7 * (dim + 16))  # rows are at most units: rounding adds less than this
+    na, nb = np.sqrt(np.einsum("ij,ij->i", a, a)), np.sqrt(np.einsum("ij,ij->i", b, b))
     out_i, out_j = [], []
+    first = 0
     for at in range(0, len(a), 256):
-        xa = ua[at:at + 256]
-        k = steps[0] if steps else a.shape[1]
-        part = xa[:, :k] @ ub[:, :k].T
-        bound = part + np.outer(_suffix_norms(xa, k), _suffix_norms(ub, k))
-        i, j = np.nonzero(bound >= threshold - SLACK)
+        last = at + 1 if upper else 0
+        for step in range(first, len(steps)):
+            if step not in sides:
+                sides[step] = _bounded(ua, steps[step]), _bounded(ub, steps[step]).T
+            xa, xb = sides[step]
+            hit = np.flatnonzero(xa[at:at + 256] @ xb[:, last:] >= floor)
+            if len(hit) * FEW <= xa[at:at + 256].shape[0] * (len(b) - last):
+                break
+            first = min(step + 1, len(steps) - 1)  # the next rows of the block begin where these ended
+        i, j = np.divmod(hit, max(1, len(b) - last))
+        j = j + last
         if upper:
             keep = at + i < j
             i, j = i[keep], j[keep]
         for lo in range(0, len(i), 1 << 16):  # survivors in blocks: memory stays bounded in a crowd
-            bi, bj = i[lo:lo + (1 << 16)], j[lo:lo + (1 << 16)]
-            total, done = part[bi, bj], k
-            for step in [*steps[1:], a.shape[1]]:
-                total = total + np.einsum("ij,ij->i", xa[bi, done:step], ub[bj, done:step])
-                done = step
-                rest = _suffix_norms(xa, step)[bi] * _suffix_norms(ub, step)[bj]
-                live = total + rest >= threshold - SLACK
-                bi, bj, total = bi[live], bj[live], total[live]
-            x, y = a[at + bi], b[bj]
-            cosine = np.einsum("ij,ij->i", x, y) / (np.sqrt(np.einsum("ij,ij->i", x, x))
-                                                    * np.sqrt(np.einsum("ij,ij->i", y, y)))
+            bi, bj = at + i[lo:lo + (1 << 16)], j[lo:lo + (1 << 16)]
+            cosine = np.einsum("ij,ij->i", a[bi], b[bj]) / (na[bi] * nb[bj])
             live = cosine >= threshold
-            out_i.append(at + bi[live])
+            out_i.append(bi[live])
             out_j.append(bj[live])
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *out_i]), np.concatenate([none, *out_j])
@@ -162,12 +180,16 @@ def _tiles(tiling: Tiling):
     return run
 
 
+def tile_rows(dim: int) -> int:
+    return max(TILE, min(4 * TILE, TILE_VALUES // max(1, dim)))
+
+
 def _linked(reps: DataFrame, dim: int, threshold: float) -> DataFrame:
     """node, links, top rows of the distinct vectors of one length."""
     count = reps.count()
     rows = reps.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("embedding").collect()
     sample = _unit(_matrix([r[0] for r in rows], dim))
-    depth = max(0, min(int(np.ceil(np.log2(max(1, count) / TILE))) + 1, 11))
+    depth = max(0, min(int(np.ceil(np.log2(max(1, count) / tile_rows(dim)))) + 1, 11))
     tiling = Tiling(sample, depth)
 
     def leaves(batches):
@@ -177,7 +199,7 @@ def _linked(reps: DataFrame, dim: int, threshold: float) -> DataFrame:
 
     with_leaf = written(reps.mapInPandas(
         leaves, "rep long, copies long, embedding array<float>, leaf long"), "vec-leaves")
-    crowd = with_leaf.groupBy("leaf").agg(F.ceil(F.count("*") / TILE).cast("long").alias("cuts"))
+    crowd = with_leaf.groupBy("leaf").agg(F.ceil(F.count("*") / tile_rows(dim)).cast("long").alias("cuts"))
     with_tile = with_leaf.join(crowd, "leaf").withColumn(
         "tile", F.xxhash64("leaf", F.pmod(F.xxhash64("rep"), F.col("cuts"))))
     axes_schema = ("tile long, ids binary, copies binary, rows binary, low array<double>, high array<double>")
@@ -197,7 +219,8 @@ def _linked(reps: DataFrame, dim: int, threshold: float) -> DataFrame:
                     .select("tile_a", "tile_b").distinct(), "vec-pairs")
     side = lambda s: tiles.select(*(F.col(c).alias(f"{c}_{s}") for c in ("tile", "ids", "copies", "rows")))
     both = pairs.join(side("a"), "tile_a").join(side("b"), "tile_b")
-    both = both.repartition(max(1, pairs.count() // 4), "tile_a", "tile_b")
+    n = pairs.count()
+    both = both.repartition(max(1, min(n, 64), n // 4), "tile_a", "tile_b")
     return both.mapInPandas(_compare(tiling.axes, threshold), "node long, links long, top long")
 
 

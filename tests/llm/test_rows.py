@@ -260,6 +260,25 @@ def test_copies_of_a_page_count_once(spark):
         assert " ".join(articles[k - 1000 if k >= 1000 else 0].split()) in got[k] and "Home" not in got[k]
 
 
+def test_pairs_of_a_block_against_brute_force():
+    """Bounds in single precision lose no pair at the threshold, whether the first axes tell vectors apart or not."""
+    r = np.random.default_rng(5)
+    for dim, spread in ((64, 1.0), (64, 0.02), (6, 1.0), (40, 0.2)):
+        a = r.normal(size=(300, dim)) * spread + 1 / np.sqrt(dim)
+        a = np.concatenate([a, a[:200] + 0.05 * r.normal(size=(200, dim)), 1e-3 * a[:9], a[:1]])
+        b = np.concatenate([a[::3] + 0.04 * r.normal(size=(len(a[::3]), dim)), r.normal(size=(31, dim))])
+        axes = np.linalg.qr(r.normal(size=(dim, dim)))[0]
+        norm = lambda x: np.sqrt(np.einsum("ij,ij->i", x, x))
+        for other, upper in ((b, False), (a, True)):
+            cosine = np.einsum("id,jd->ij", a, other) / np.outer(norm(a), norm(other))
+            t = np.sort(np.triu(cosine, 1).ravel() if upper else cosine.ravel())[-400] - 1e-13
+            want = np.triu(cosine, 1) >= t if upper else cosine >= t
+            got = np.zeros_like(want)
+            got[op8_embeddings.similar_pairs(a, other, axes, t, upper)] = True
+            assert np.array_equal(got, want)
+    assert op8_embeddings.tile_rows(64) == 8192 and op8_embeddings.tile_rows(1024) == 2048
+
+
 def test_style_tree_sums_up_branches(spark):
     """An element's importance comes from its presentations and children; a branch that is low throughout goes with what is too
     rare in it to be judged by itself."""
