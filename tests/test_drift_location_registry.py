@@ -297,3 +297,30 @@ def test_addresses_are_normalised_once_a_row(spark):
     for got in (out, L.resolve_choice(df, "choice", "hint").drop("reject_reason")):
         rows = {r.k: (r.latitude, r.longitude, r.label, r.matched) for r in got.collect()}
         assert rows == {k: (lat, lon, label, True) if k == 3 else (c_lat, c_lon, f"{centre} centrum", k < 3) for k in range(6)}
+
+
+def test_drift_jobs_work_the_input_out_once(spark):
+    """The split and the tests read one written table: the input is read once, and the counts of categories are too."""
+    from domus.operators import drift as D
+    from domus.plans.drift_job import drift_job
+
+    acc = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def city(k):
+        acc.add(1)
+        return f"c{k % 3}"
+
+    df = spark.range(60).select(F.col("id").cast("string").alias("uid"), city.asNondeterministic()("id").alias("city"),
+                                F.col("id").cast("double").alias("x"),
+                                F.when(F.col("id") < 40, "2024-01").otherwise("2024-02").alias("snapshot_month"))
+    rep, verdict = drift_job(df, cols=["city", "x"])
+    rep.collect()
+    verdict.collect()
+    assert acc.value == 60
+    sided = D.reference_current(df.select("city", "snapshot_month"))
+    p = D.psi(sided, ["city"])
+    once = acc.value
+    p.collect()
+    p.collect()
+    assert acc.value == once

@@ -173,6 +173,34 @@ def test_an_unreadable_table_is_not_an_empty_one(spark, tmpdir_path):
         read_if_there(spark, "nowhere://host/table", schema)
 
 
+def test_only_rows_whose_key_repeats_compete_for_it(spark, tmpdir_path, monkeypatch):
+    """Rows of keys that occur once aren't shuffled to find winners, and a large batch is written and fetched in more parts
+    than the session shuffles into, in order."""
+    import domus.sources.listings as LS
+
+    def listing(i, k):
+        return {**{c: None for c in LS.C.LISTING_COLUMNS}, "id": i, "snapshot_month": "2024-01", "price_pln": k, "city": "a",
+                **{r.column: v for r in LS._NOT_NULL if (v := _some(r.column)) is not None}, "_o": k}
+
+    def _some(c):
+        kind = LS.LISTING_TYPES[c].typeName()
+        return None if c in ("id", "snapshot_month", "price_pln", "city") else {
+            "string": "x", "double": 50.0, "long": 2, "boolean": False}[kind]
+
+    schema = LS.T.StructType([*LS.LISTINGS_SCHEMA.fields, LS.T.StructField("_o", LS.T.LongType())])
+    rows = [listing(f"i{k:04d}", k) for k in range(300)] + [listing("i0007", 1000), listing("i0009", 5), listing("i0007", 999)]
+    batch = spark.createDataFrame([[r[f.name] for f in schema.fields] for r in rows], schema).repartition(3)
+    want = {f"i{k:04d}": k for k in range(300)} | {"i0007": 1000, "i0009": 9}
+    assert sorted((r.id, r.price_pln) for r in LS.winners(batch).collect()) == sorted(want.items())
+    once = LS.winners(batch.dropDuplicates(["id"]))
+    assert "Window" not in once._jdf.queryExecution().toString()
+    monkeypatch.setattr(LS, "PART_ROWS", 5)
+    LS.upsert(spark, f"{tmpdir_path}/t", batch, order_col="_o")
+    stored = LS.fetch_all(spark, f"{tmpdir_path}/t")
+    assert stored.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [(r.id, r.price_pln) for r in stored.collect()] == sorted(want.items())
+
+
 def test_upsert_filter_never_lets_a_twin_through(spark, tmpdir_path, monkeypatch):
     """Against a dictionary: hot keys, several batches, a filter with far too few bits."""
     import random
