@@ -64,10 +64,10 @@ def windows(text: str, k: int = WINDOW) -> list[bytes]:
 
 
 def _grams(data: bytes) -> np.ndarray:
-    """A 22-bit hash of the ``MIN_MATCH`` bytes at each place."""
+    """A 22-bit hash of the ``MIN_MATCH`` bytes at each place; fewer bytes than that have none."""
     x = np.frombuffer(data, np.uint8).astype(np.uint64)
-    n = len(x) - MIN_MATCH + 1
-    out = np.zeros(max(n, 0), np.uint64)
+    n = max(len(x) - MIN_MATCH + 1, 0)
+    out = np.zeros(n, np.uint64)
     for j in range(MIN_MATCH):
         out = (out << np.uint64(8)) | x[j:n + j]
     return (out * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)

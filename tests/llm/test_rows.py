@@ -182,6 +182,14 @@ def test_sample_counts_and_holds_long_documents(spark, monkeypatch):
     assert again == share and sum(t for _, t in sample) == 2
 
 
+@pytest.mark.parametrize("text", ["", "a", "ab", "é", "abc", " ab\n", "abcd", "badword"])
+def test_toxicity_of_texts_of_a_few_bytes(text):
+    known = op4_toxicity.Dictionaries(b" some ordinary words ", b" badword ").open()
+    assert len(op4_toxicity._grams(text.encode())) == max(len(text.encode()) - op4_toxicity.MIN_MATCH + 1, 0)
+    figures = known.figures(text)
+    assert len(figures) == len(op4_toxicity.THRESHOLDS) + 3 and (max(figures) > 0) == (text == "badword")
+
+
 def test_toxicity_without_classes(spark, documents, no_documents):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in op4_toxicity.classify(documents, none).collect()} == {0.0}
