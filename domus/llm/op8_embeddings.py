@@ -5,15 +5,17 @@ any rotation gives the same products, the axes only decide how early a compariso
 nearby vectors by the leading axes, and compared tile by tile:
 
 * Two tiles are compared only if their boxes on the leading axes come close enough: unit vectors with cosine c lie
-  sqrt(2 - 2c) apart, on every set of axes at most that. Tile pairs come from an equi-join on strips of the
-  first axis, not from all pairs.
+  sqrt(2 - 2c) apart, on every set of axes at most that. Tiles are never shuffled to meet: each task reads two files' worth
+  of the written tiles (a Cartesian product of its partitions) and looks at the pairs of tiles between them, so the disk holds
+  the vectors a fixed number of times, however many pairs there are.
 * Inside a pair of tiles, products of the leading axes are summed first. What is left is at most the product of the
   two suffix norms (Cauchy-Schwarz); once sum and bound together stay below the threshold the pair of vectors
   is dropped. Sum and bound are one matrix product; where many pairs stay, it is made again on more axes. The
   survivors are confirmed in double precision on the vectors as given.
 
 A tile holds at most about ``tile_rows`` vectors: crowded regions are cut further by hash, and all their tiles meet.
-A task returns counts for each vector and the links of a spanning forest, never all links of a crowd.
+A task returns one count for each vector and the links of a spanning forest, never all links of a crowd. Afterwards vectors
+are told apart by 128-bit hashes, and travel no more.
 
 Cases: vectors that are null, zero or hold null or non-finite components link with nothing; vectors of different
 length never link; rows with one vec_id are one node of the components, their links are added up; equal vectors link;
@@ -24,7 +26,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domus.llm.common import components, table, written
@@ -33,6 +36,9 @@ THRESHOLD = 0.95
 #: Vectors a tile: this many, or more of short vectors, up to so many values, as each tile travels to all that are near.
 TILE = 2048
 TILE_VALUES = 1 << 19
+#: Bytes (about) of vectors in a file of tiles; links that a task gathers before it returns them.
+FILE_BYTES = 16 << 20
+GATHERED = 1 << 20
 #: Vectors that the axes and the cuts between tiles are fitted on.
 SAMPLE = 16384
 CUT_AXES = 6
@@ -144,28 +150,49 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _gathered(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, links, top) rows of several pairs of tiles as one row a node, with the smallest node that it is led to."""
+    node, links, top = (np.concatenate(x) for x in zip(*found, strict=True))
+    ids, at = np.unique(np.concatenate([node, top]), return_inverse=True)
+    i, j = at[:len(node)], at[len(node):]
+    total = np.bincount(i, links, len(ids)).astype(np.int64)
+    return ids, total, ids[forest(len(ids), i, j)]
+
+
 def _compare(axes: np.ndarray, threshold: float):
     dim = len(axes)
 
+    def links_of(r) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        same = r.tile_a == r.tile_b
+        a = np.frombuffer(r.rows_a, np.float32).reshape(-1, dim).astype(float)
+        b = a if same else np.frombuffer(r.rows_b, np.float32).reshape(-1, dim).astype(float)
+        ids_a, w_a = np.frombuffer(r.ids_a, np.int64), np.frombuffer(r.copies_a, np.int64)
+        ids_b, w_b = np.frombuffer(r.ids_b, np.int64), np.frombuffer(r.copies_b, np.int64)
+        i, j = similar_pairs(a, b, axes, threshold, same)
+        if not len(i):
+            return None
+        ids = ids_a if same else np.concatenate([ids_a, ids_b])
+        w = w_a if same else np.concatenate([w_a, w_b])
+        j = j if same else j + len(ids_a)
+        links = np.bincount(i, w[j], len(ids)) + np.bincount(j, w[i], len(ids))
+        top = forest(len(ids), i, j)
+        touched = np.flatnonzero(links)
+        return ids[touched], links[touched].astype(np.int64), ids[top[touched]]
+
     def run(batches):
+        held = []  # of the tiles of a task, each met by many others: a row a node leaves, not one a pair of tiles
         for part in batches:
             for r in part.itertuples(index=False):
-                same = r.tile_a == r.tile_b
-                a = np.frombuffer(r.rows_a, np.float32).reshape(-1, dim).astype(float)
-                b = a if same else np.frombuffer(r.rows_b, np.float32).reshape(-1, dim).astype(float)
-                ids_a, w_a = np.frombuffer(r.ids_a, np.int64), np.frombuffer(r.copies_a, np.int64)
-                ids_b, w_b = np.frombuffer(r.ids_b, np.int64), np.frombuffer(r.copies_b, np.int64)
-                i, j = similar_pairs(a, b, axes, threshold, same)
-                if not len(i):
+                got = links_of(r)
+                if got is None:
                     continue
-                ids = ids_a if same else np.concatenate([ids_a, ids_b])
-                w = w_a if same else np.concatenate([w_a, w_b])
-                j = j if same else j + len(ids_a)
-                links = np.bincount(i, w[j], len(ids)) + np.bincount(j, w[i], len(ids))
-                top = forest(len(ids), i, j)
-                touched = np.flatnonzero(links)
-                yield pd.DataFrame({"node": ids[touched], "links": links[touched].astype(np.int64),
-                                    "top": ids[top[touched]]})
+                held.append(got)
+                if sum(len(x[0]) for x in held) > GATHERED:
+                    held = [_gathered(held)]
+                    if len(held[0][0]) > GATHERED // 2:
+                        yield pd.DataFrame(dict(zip(("node", "links", "top"), held.pop(), strict=True)))
+        if held:
+            yield pd.DataFrame(dict(zip(("node", "links", "top"), _gathered(held), strict=True)))
     return run
 
 
@@ -193,37 +220,40 @@ def _linked(reps: DataFrame, dim: int, threshold: float) -> DataFrame:
     tiling = Tiling(sample, depth)
 
     def leaves(batches):
-        for part in batches:
-            if len(part):
-                yield part.assign(leaf=tiling.leaf(_unit(_matrix(part["embedding"], dim))))
-
-    with_leaf = written(reps.mapInPandas(
-        leaves, "rep long, copies long, embedding array<float>, leaf long"), "vec-leaves")
-    crowd = with_leaf.groupBy("leaf").agg(F.ceil(F.count("*") / tile_rows(dim)).cast("long").alias("cuts"))
-    with_tile = with_leaf.join(crowd, "leaf").withColumn(
-        "tile", F.xxhash64("leaf", F.pmod(F.xxhash64("rep"), F.col("cuts"))))
+        for batch in batches:
+            x = batch.column(batch.schema.get_field_index("embedding")).flatten().to_numpy().reshape(-1, dim).astype(float)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tiling.leaf(_unit(x)), pa.int64())],
+                                             names=[*batch.schema.names, "leaf"])
+
+    # leaves are found twice, to be counted and to deal the vectors: that is cheaper than another table of vectors
+    with_leaf = reps.select("rep", "copies", "embedding").mapInArrow(
+        leaves, "rep long, copies long, embedding array<float>, leaf long")
+    crowd = written(with_leaf.groupBy("leaf").agg(F.ceil(F.count("*") / tile_rows(dim)).cast("long").alias("cuts")),
+                    "vec-crowds")
+    cuts = F.coalesce("cuts", F.lit(1))  # a vector on a cut may fall to the other side, where none was counted
+    with_tile = with_leaf.join(F.broadcast(crowd), "leaf", "left").withColumn(
+        "tile", F.xxhash64("leaf", F.pmod(F.xxhash64("rep"), cuts)))  # at most 2,048 leaves
+    n = crowd.agg(F.coalesce(F.sum("cuts"), F.lit(1))).first()[0]
+    files = max(1, min(n, 64), -(-count * dim * 4 // FILE_BYTES))
     axes_schema = ("tile long, ids binary, copies binary, rows binary, low array<double>, high array<double>")
-    tiles = written(with_tile.drop("leaf", "cuts").groupBy("tile").applyInPandas(_tiles(tiling), axes_schema),
-                    "vec-tiles")
-    # pairs of tiles: strips of the first axis as wide as a link is long, joined with their neighbours
+    tiles = written(with_tile.drop("leaf", "cuts").repartition(files, "tile").groupBy("tile").applyInPandas(
+        _tiles(tiling), axes_schema), "vec-tiles")
+    # each task reads two partitions of the tiles, and nothing is shuffled
     reach = float(np.sqrt(2 - 2 * threshold)) + SLACK
-    box = tiles.select("tile", "low", "high")
-    strip = lambda x: F.floor(F.col(x)[0] / reach).cast("int")
-    left = box.select(F.col("tile").alias("tile_a"), F.col("low").alias("low_a"), F.col("high").alias("high_a"),
-                      F.explode(F.sequence(strip("low"), strip("high"))).alias("strip"))
-    right = box.select(F.col("tile").alias("tile_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"),
-                       F.explode(F.sequence(strip("low") - 1, strip("high") + 1)).alias("strip"))
+    side = lambda s: tiles.select(*(F.col(c).alias(f"{c}_{s}") for c in tiles.columns))
     gap = sum((F.pow(F.greatest(F.col("low_a")[k] - F.col("high_b")[k], F.col("low_b")[k] - F.col("high_a")[k],
                                 F.lit(0.0)), 2) for k in range(min(CUT_AXES, dim))), F.lit(0.0))
-    pairs = written(left.join(right, "strip").filter((F.col("tile_a") <= F.col("tile_b")) & (gap <= reach * reach))
-                    .select("tile_a", "tile_b").distinct(), "vec-pairs")
-    side = lambda s: tiles.select(*(F.col(c).alias(f"{c}_{s}") for c in ("tile", "ids", "copies", "rows")))
-    both = pairs.join(side("a"), "tile_a").join(side("b"), "tile_b")
-    n = pairs.count()
-    both = both.repartition(max(1, min(n, 64), n // 4), "tile_a", "tile_b")
+    both = side("a").join(side("b").hint("shuffle_replicate_nl"),
+                          (F.col("tile_a") <= F.col("tile_b")) & (gap <= reach * reach))
+    both = both.drop("low_a", "high_a", "low_b", "high_b")
     return both.mapInPandas(_compare(tiling.axes, threshold), "node long, links long, top long")
 
 
+def _hashes(vector: Column) -> list[Column]:
+    """Two 64-bit hashes of a vector with different seeds (-0.0 has the hash of 0.0)."""
+    return [F.xxhash64(vector).alias("one"), F.xxhash64(F.lit(8), vector).alias("two")]
+
+
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector."""
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
@@ -233,7 +263,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "embedding", lambda x: x != 0)
     v = v.withColumn("good", F.coalesce(good, F.lit(False)))
     reps = written(v.filter("good").groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-                   .select("rep", "copies", "embedding"), "vec-reps")
+                   .select("rep", "copies", "embedding", *_hashes(F.col("embedding"))), "vec-reps")
     found = None
     for (dim,) in reps.select(F.size("embedding")).distinct().collect():  # vectors of one length, usually all
         part = _linked(reps.filter(F.size("embedding") == dim), dim, threshold)
@@ -244,12 +274,14 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = written(found, "vec-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     tops = components(found.select("node", "top"))
-    per = reps.join(links, reps.rep == links.node, "left").drop("node")
+    per = reps.drop("embedding").join(links, reps.rep == links.node, "left").drop("node")
     per = per.join(tops, per.rep == tops.node, "left").select(
-        F.col("embedding").alias("same"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        "one", "two", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "rep").alias("component_id"))
     per = written(per, "vec-per")
-    out = v.join(per, F.when(v.good, v.embedding) == per.same, "left")
+    # rows without a good vector have no hashes, and find nothing
+    out = v.select("vec_id", *(F.when(v.good, h).alias(k) for h, k in zip(_hashes(v.embedding), ("one", "two"), strict=True)))
+    out = out.join(per, ["one", "two"], "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))

@@ -373,6 +373,29 @@ def test_vectors_match_brute_force(spark, monkeypatch):
     assert op8_embeddings.near_vectors(df.limit(0)).collect() == []
 
 
+def test_tiles_of_vectors_meet_without_a_shuffle(spark, monkeypatch, tmpdir_path):
+    """Pairs of tiles aren't sent anywhere, a node leaves a task once, and all links are found."""
+    monkeypatch.setattr(op8_embeddings, "TILE", 16)
+    monkeypatch.setattr(op8_embeddings, "TILE_VALUES", 64)
+    monkeypatch.setattr(op8_embeddings, "GATHERED", 50)
+    r = np.random.default_rng(5)
+    x = r.normal(size=(300, 8)).astype(np.float32)
+    x[100:200] = x[0] + 0.1 * r.normal(size=(100, 8))
+    rows = spark.createDataFrame([(k, 1 + k % 2, v.tolist()) for k, v in enumerate(x)], "rep long, copies long, embedding array<float>")
+    rows.write.parquet(f"{tmpdir_path}/reps")
+    found = op8_embeddings._linked(spark.read.parquet(f"{tmpdir_path}/reps"), 8, 0.95)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    near = (unit @ unit.T >= 0.95) & ~np.eye(300, dtype=bool)
+    want = near @ (1 + np.arange(300) % 2)
+    got = {r.node: r.links for r in found.groupBy("node").agg(F.sum("links").alias("links")).collect()}
+    assert got == {k: n for k, n in enumerate(want.tolist()) if n}
+    node, links, top = op8_embeddings._gathered([(np.array([7, 5, 3]), np.array([1, 2, 1]), np.array([5, 5, 3])),
+                                                 (np.array([3, 5]), np.array([4, 4]), np.array([3, 3]))])
+    assert (node.tolist(), links.tolist(), top.tolist()) == ([3, 5, 7], [5, 6, 1], [3, 3, 3])
+
+
 # 10: archives
 def test_archives_round_trip(spark, tmpdir_path):
     big, odd = "<p>" + "é" * 700, "a\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n\x00b" * 50
