@@ -268,6 +268,57 @@ def test_a_fit_scores_all_its_beginnings(spark):
         U.tune(train.limit(0))
 
 
+def test_coded_fits_are_those_of_spark_ml(spark, monkeypatch):
+    """A search fits in one job a rung and goes on from its trees; errors are those of Spark ML's learner."""
+    from domus.plans import tuning as U
+    from domus.session import materialize
+
+    train = materialize(exact_split(panel(spark, SF)).filter(F.col("part") == "train"))
+    folds, codes = U.fold_vectors(train, "uid", 2, train.count(), 42), U.fold_codes(train, "uid", 2, 42)
+    params, grown = {"max_depth": 3, "learning_rate": 0.3}, {}
+    first = U.code_errors(codes, 2, [params], [0], 2, grown)
+    assert {p: len(t) for p, t in grown.items()} == {(0, 0): 2, (0, 1): 2}
+    errors = U.code_errors(codes, 2, [params], [0], 5, grown)
+    for f in (0, 1):
+        assert errors[0, f][:2] == first[0, f]
+        assert errors[0, f] == pytest.approx(U.prefix_errors(folds[f], "gbt", params, 5, 42), rel=2e-3)
+    monkeypatch.setattr(U, "prefix_errors", None)
+    options = dict(n_trials=2, cv_folds=2, trees=(2, 4), depths=(2, 3), timeout_seconds=float("inf"))
+    _, trials = U.tune(train, **options)
+    assert trials.count() == 2
+    for name, what in (("forest", "no estimator"), ("random_forest", "learning_rate")):
+        with pytest.raises(TrainingError, match=what):
+            U.tune(train, estimator=name, **options)
+
+
+def test_trees_of_codes_against_plain_search():
+    import numpy as np
+    from domus.operators import boosting as B
+
+    r = np.random.default_rng(3)
+    codes = np.stack([r.integers(0, 5, 400), r.integers(0, 7, 400), r.integers(0, 2, 400)]).astype(np.uint8)
+    layout = B.Layout(np.array([6, 7, 2]), np.array([True, False, False]))
+    target = r.normal(size=400) + (codes[0] == 3) * 4 + (codes[1] > 2) * (codes[2] == 1) * 3
+
+    def plain(rows, depth):
+        cuts = [(f, c, codes[f][rows] == c if hot else codes[f][rows] > c)
+                for f, (w, hot) in enumerate(zip((6, 7, 2), (True, False, False), strict=True)) for c in range(w - 1)]
+        loss = lambda x: ((x - x.mean()) ** 2).sum()
+        y = target[rows]
+        gains = [loss(y) - loss(y[g]) - loss(y[~g]) if 0 < g.sum() < len(g) else -1 for _, _, g in cuts]
+        if not depth or max(gains) <= 1e-9:
+            return np.full(len(rows), y.mean())
+        right, out = cuts[int(np.argmax(gains))][2], np.zeros(len(rows))
+        out[right], out[~right] = plain(rows[right], depth - 1), plain(rows[~right], depth - 1)
+        return out
+
+    tree, leaf = B.grow(codes, B.packed(codes, layout), layout, target, 3)
+    assert tree.value[leaf] == pytest.approx(plain(np.arange(400), 3))
+    assert (B.leaves(tree, layout, codes) == leaf).all()
+    assert B.thresholds(np.array([1.0, 2.0, 2.0, 5.0])).tolist() == [1.5, 3.5]
+    assert len(B.thresholds(np.arange(1000.0))) == 31 and B.thresholds(np.ones(9)).tolist() == []
+
+
 def test_encoder_slots_and_guards(spark):
     from domus.operators.features import encoded_slots
     from domus.operators.guards import require_rows, row_count_guards
